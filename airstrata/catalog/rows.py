@@ -11,7 +11,7 @@ from ..functions.times import (
 from ..operators import joins, profile, rows
 from ..operators.rows import quoted
 from ..operators.stations import station_table
-from ..plans.layers import reject_rules
+from ..plans.layers import entry_rules
 from ..schemas import (
     DATE, END, GPS, LATITUDE, LONGITUDE, POLLUTANT, SITE, START, STATION_CODE, VALUE,
 )
@@ -105,11 +105,10 @@ def clean_complete(spark, folder):
     FROM m""",
 )
 def reject_split(spark, folder):
+    """Every landed row with its outcome, in one pass."""
     raw = landed(spark, folder)
-    good, bad = rows.split_rejects(raw, reject_rules(raw))
-    return good.select("event_id", F.lit(rows.ACCEPTED).alias("outcome")).unionByName(
-        bad.select("event_id", F.col("reason").alias("outcome"))
-    )
+    marked = rows.with_reason(raw, entry_rules(raw), "outcome")
+    return marked.select("event_id", F.coalesce("outcome", F.lit(rows.ACCEPTED)).alias("outcome"))
 
 
 @query(
@@ -215,7 +214,7 @@ def distinct_pollutants(spark, folder):
 )
 def row_count_audit(spark, folder):
     readings = measurements(spark, folder)
-    good = ~rows.is_missing(readings, VALUE) & ~rows.is_missing(readings, "valeur brute")
+    good = rows.is_present(readings, VALUE) & rows.is_present(readings, "valeur brute")
     return profile.count_audit(readings, good)
 
 

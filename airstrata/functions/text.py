@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, functions as F
 
-NON_WORD = r"[^\p{L}\p{N}]+"
+NON_WORD = r"[^\p{L}\p{N}]+"  # words are maximal runs of letters and digits
 
 
 def json_number_map(column: Column) -> Column:
@@ -33,8 +33,3 @@ def squeeze_whitespace(column: Column, wanted: Column | None = None) -> Column:
     """Runs of blanks, tabs and line ends to one blank, ends trimmed, where ``wanted``."""
     squeezed = F.trim(F.regexp_replace(column, r"[ \t\r\n]+", " "))
     return squeezed if wanted is None else F.when(wanted, squeezed).otherwise(column)
-
-
-def words(column: Column) -> Column:
-    """Lower-case words: maximal runs of letters and digits."""
-    return F.array_remove(F.split(F.lower(column), NON_WORD), "")

@@ -49,7 +49,7 @@ def join_stations_salted(
         F.broadcast(hot.withColumnRenamed("_site", "_hot")), key == F.col("_hot"), "left"
     )
     # Any spread is right; a hash of the row's content keeps retried tasks alike.
-    spread = F.pmod(F.xxhash64(*[quoted(c) for c in measurements.columns]), F.lit(slices))
+    spread = F.pmod(F.xxhash64(*[quoted(c) for c in measurements.columns]), F.lit(slices)).cast("int")
     salted = flagged.withColumn(
         "_slice", F.when(F.col("_hot").isNotNull(), spread).otherwise(F.lit(0))
     ).drop("_hot")
@@ -75,7 +75,10 @@ def unmatched(
 ) -> DataFrame:
     """Sites without a station, with their number of readings.
 
-    Readings are counted per site first, so the join sees one row per site.
+    Readings are counted per site first, so the join sees one row per site. It
+    is a left join with a NULL test: an anti join would be moved below the count.
     """
     counts = measurements.groupBy(quoted(site)).agg(F.count("*").alias("readings"))
-    return counts.join(stations, _on(counts, stations, site, code), "left_anti")
+    known = stations.select(quoted(code).alias("_known"))
+    joined = counts.join(known, counts[backticked(site)] == F.col("_known"), "left")
+    return joined.where(F.col("_known").isNull()).drop("_known")

@@ -10,7 +10,6 @@ from ..schemas import (
 )
 
 ACCEPTED = "accepted"
-REJECTED = "rejected"
 
 
 def backticked(name: str) -> str:
@@ -77,21 +76,24 @@ def nonnegative(df: DataFrame) -> DataFrame:
 
 
 def with_reason(df: DataFrame, rules: dict[str, Column], reason: str = "reason") -> DataFrame:
-    """Add the first rule a row breaks, NULL for a good row.
+    """Add the reason of the first rule a row fails, NULL for a good row.
 
-    ``rules`` maps a reason to the condition that makes a row bad. A condition
-    that is NULL counts as not broken.
+    ``rules`` maps a reason to the condition a good row meets; a condition that
+    is NULL is not met.
     """
-    return df.withColumn(reason, F.coalesce(*[F.when(bad, F.lit(r)) for r, bad in rules.items()]))
+    failed = {r: ~F.coalesce(good, F.lit(False)) for r, good in rules.items()}
+    return df.withColumn(reason, F.coalesce(*[F.when(f, F.lit(r)) for r, f in failed.items()]))
 
 
 def split_rejects(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and bad rows with their ``reason``; together the whole input."""
-    marked = with_reason(df, rules)
-    good, bad = F.col("reason").isNull(), F.col("reason").isNotNull()
-    return marked.where(good).drop("reason"), marked.where(bad)
+    """Good rows, and bad rows with their ``reason``; together the whole input.
+
+    The good side is a plain conjunction, so its parts reach the scan.
+    """
+    bad = with_reason(df, rules).where(F.col("reason").isNotNull())
+    return df.where(_all(list(rules.values()))), bad
 
 
-def is_missing(df: DataFrame, name: str) -> Column:
-    """Condition for ``with_reason``: the column is NULL or NaN."""
-    return ~_present(df.schema[name])
+def is_present(df: DataFrame, name: str) -> Column:
+    """The column is neither NULL nor NaN."""
+    return _present(df.schema[name])

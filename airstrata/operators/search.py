@@ -4,7 +4,8 @@ import re
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.text import words
+from ..functions.text import NON_WORD
+from ..workspace import workspace
 from .rows import quoted
 
 
@@ -18,6 +19,30 @@ def query_words(query: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"[^\W_]+", query.lower())))
 
 
+def word_counts(df: DataFrame, terms: list[str], id_column: str, text_columns: list[str]):
+    """Per document its number of words, and how often each term is one of them.
+
+    The text is cut once, into words each between two blanks of its own, so that
+    counting is replacing and comparing lengths; no array of words is built.
+    """
+    body = F.concat_ws(" ", *[quoted(c) for c in text_columns])
+    spaced = F.trim(F.regexp_replace(F.lower(body), NON_WORD, "  "))
+    cut = df.select(quoted(id_column), F.concat(F.lit(" "), spaced, F.lit(" ")).alias("_text"))
+    empty = F.length("_text") == 2
+
+    def removed(part: str):
+        return F.length("_text") - F.length(F.replace("_text", F.lit(part), F.lit("")))
+
+    return cut.select(
+        quoted(id_column),
+        F.when(empty, 0).otherwise((removed(" ") / 2).cast("int")).alias("_length"),
+        *[
+            (removed(f" {t} ") / (len(t) + 2)).cast("int").alias(f"_tf{i}")
+            for i, t in enumerate(terms)
+        ],
+    )
+
+
 def bm25(
     df: DataFrame,
     query: str,
@@ -29,47 +54,35 @@ def bm25(
 ) -> DataFrame:
     """The ``k`` best documents by Okapi BM25 over all ``text_columns`` together.
 
-    Two scans and no shuffle of text: one aggregates the corpus figures to a
-    single row, read back as a scalar subquery; the other splits only documents
-    that contain a query word at all, and ends in a distributed top-k.
+    The text is read and cut once, without a shuffle: its counts - an id and a
+    few numbers per document - are written to the shared folder when this is
+    called. The corpus figures are one aggregate over them, read back as a
+    scalar subquery, and the ranking ends in a distributed top-k.
     """
     terms = query_words(query)
     if not terms:
         return df.select(quoted(id_column), F.lit(0.0).alias("score")).where(F.lit(False))
-    body = F.concat_ws(" ", *[quoted(c) for c in text_columns])
-
-    def frequencies(of: DataFrame) -> DataFrame:
-        split = of.withColumn("_words", words(body)).withColumn("_length", F.size("_words"))
-        return split.select(
-            quoted(id_column),
-            "_length",
-            *[
-                (F.col("_length") - F.size(F.array_remove("_words", t))).alias(f"_tf{i}")
-                for i, t in enumerate(terms)
-            ],
-        )
+    spark = df.sparkSession
+    stored = workspace(spark, "word-counts")
+    word_counts(df, terms, id_column, text_columns).write.parquet(stored)
+    counts = spark.read.parquet(stored)
 
-    corpus = frequencies(df).agg(
+    corpus = counts.agg(
         F.struct(
             F.count("*").alias("documents"),
             F.avg("_length").alias("mean_length"),
             *[F.count_if(F.col(f"_tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))],
         )
-    ).scalar()
-
-    contains = F.lit(False)
-    for term in terms:
-        contains = contains | F.contains(F.lower(body), F.lit(term))
-
-    score = F.lit(0.0)
+    )
+    found, score = F.lit(False), F.lit(0.0)
     for i in range(len(terms)):
-        tf, found = F.col(f"_tf{i}"), corpus[f"df{i}"]
-        idf = F.log(1 + (corpus["documents"] - found + 0.5) / (found + 0.5))
-        norm = k1 * (1 - b + b * F.col("_length") / corpus["mean_length"])
-        score = score + idf * tf * (k1 + 1) / (tf + norm)
+        tf, df_i = F.col(f"_tf{i}"), F.col(f"_corpus.df{i}")
+        idf = F.log(1 + (F.col("_corpus.documents") - df_i + 0.5) / (df_i + 0.5))
+        norm = k1 * (1 - b + b * F.col("_length") / F.col("_corpus.mean_length"))
+        found, score = found | (tf > 0), score + idf * tf * (k1 + 1) / (tf + norm)
     return (
-        frequencies(df.where(contains))
-        .where(F.greatest(F.lit(0), *[F.col(f"_tf{i}") for i in range(len(terms))]) > 0)
+        counts.where(found)
+        .withColumn("_corpus", corpus.scalar())
         .select(quoted(id_column), score.alias("score"))
         .orderBy(F.desc("score"), quoted(id_column))
         .limit(k)

@@ -14,12 +14,12 @@ from ..functions.times import iso_text, parse_time
 from ..operators.joins import join_stations
 from ..operators.latest import latest_per_key
 from ..operators.rows import (
-    complete, copy_column, is_missing, nonnegative, project, quoted, require, split_rejects, stamp_date,
+    complete, copy_column, is_present, nonnegative, project, quoted, require, split_rejects, stamp_date,
 )
 from ..operators.stations import station_table
 from ..schemas import (
     DATE, DOC_ID, END, GPS, LATITUDE, LONGITUDE, POLLUTANT, POLLUTANT_COPY,
-    REQUIRED_COLUMNS, SITE, START, VALIDITY, VALUE,
+    REQUIRED_COLUMNS, SITE, START, STATION_CODE, VALIDITY, VALUE,
 )
 from ..sinks import documents
 from ..sinks.layers import write_delimited, write_layer
@@ -38,28 +38,28 @@ def typed_times(df: DataFrame) -> DataFrame:
     return df.withColumns({c: parse_time(quoted(c)) for c in text})
 
 
-def reject_rules(df: DataFrame, only_valid: bool = False) -> dict:
-    """Why a raw row cannot enter the cleaned layer, in order of precedence."""
-    rules = {f"no {c}": is_missing(df, c) for c in REQUIRED_COLUMNS}
+def entry_rules(df: DataFrame, only_valid: bool = False) -> dict:
+    """What a raw row must meet to enter the cleaned layer, by reject reason, in order."""
+    rules = {f"no {c}": is_present(df, c) for c in REQUIRED_COLUMNS}
     for c in (START, END):
         if df.schema[c].dataType.typeName() == "string":
-            rules[f"unreadable {c}"] = parse_time(quoted(c)).isNull()
-    rules[f"no {POLLUTANT}"] = is_missing(df, POLLUTANT)
+            rules[f"unreadable {c}"] = parse_time(quoted(c)).isNotNull()
+    rules[f"no {POLLUTANT}"] = is_present(df, POLLUTANT)
     if only_valid:
-        rules["not valid"] = quoted(VALIDITY) <= 0
-        rules["negative"] = quoted(VALUE) < 0
+        rules["not valid"] = (quoted(VALIDITY) > 0) | quoted(VALIDITY).isNull()
+        rules["negative"] = quoted(VALUE) >= 0
     return rules
 
 
 def clean(raw: DataFrame, only_valid: bool = False) -> DataFrame:
     """Raw to L1: 13 columns, required values present, times readable."""
-    good, _ = split_rejects(project(raw), reject_rules(raw, only_valid))
+    good, _ = split_rejects(project(raw), entry_rules(raw, only_valid))
     return copy_column(typed_times(good))
 
 
 def rejected(raw: DataFrame, only_valid: bool = False) -> DataFrame:
     """The raw rows ``clean`` leaves out, with the reason."""
-    return split_rejects(project(raw), reject_rules(raw, only_valid))[1]
+    return split_rejects(project(raw), entry_rules(raw, only_valid))[1]
 
 
 def store_cleaned(cleaned: DataFrame, path: str) -> None:
@@ -77,12 +77,8 @@ def store_combined(combined: DataFrame, path: str) -> None:
     write_layer(combined, path, (DATE, POLLUTANT), (SITE,), touched_only=True)
 
 
-def to_documents(combined: DataFrame, grain: str = "day") -> DataFrame:
-    """L2 to documents: ISO times, ``[lon, lat]``, no gaps, and the key.
-
-    With ``grain="day"`` the readings of a day, site and pollutant share a key;
-    ``"hour"`` keeps the hourly series.
-    """
+def _keyed(combined: DataFrame, grain: str) -> DataFrame:
+    """ISO times, ``[lon, lat]`` and the document key."""
     moment = quoted(DATE) if grain == "day" else F.date_format(quoted(START), GRAINS[grain])
     keyed = combined.withColumns(
         {
@@ -93,7 +89,16 @@ def to_documents(combined: DataFrame, grain: str = "day") -> DataFrame:
             END: iso_text(quoted(END)),
         }
     )
-    return complete(keyed.withColumn(GPS, lon_lat(quoted(LONGITUDE), quoted(LATITUDE))))
+    return keyed.withColumn(GPS, lon_lat(quoted(LONGITUDE), quoted(LATITUDE)))
+
+
+def to_documents(combined: DataFrame, grain: str = "day") -> DataFrame:
+    """L2 to documents; a row with any gap is dropped.
+
+    With ``grain="day"`` the readings of a day, site and pollutant share a key;
+    ``"hour"`` keeps the hourly series.
+    """
+    return complete(_keyed(combined, grain))
 
 
 def latest_documents(
@@ -101,19 +106,21 @@ def latest_documents(
 ) -> DataFrame:
     """L1 and stations straight to the current document per key, in one plan.
 
-    The latest reading per date, site and pollutant is taken *before* the join:
-    the join then moves one row per key, and a site with a third of all readings
-    has already shrunk to its keys. The outcome is that of joining first, since
+    The latest reading per date, site and pollutant, and the one station row per
+    code, are taken *before* the join: readings cross the network once, as one
+    row per task and key, and a site with a third of all readings has shrunk to
+    its keys before it is joined. The outcome is that of joining first, since
     whether a row survives is decided on each side alone.
     """
     period = F.date_format(quoted(START), GRAINS[grain])
     dated = stamp_date(complete(cleaned), run_date).withColumn("_period", period)
     by = [DATE, SITE, POLLUTANT] + (["_period"] if grain != "day" else [])
     newest = latest_per_key(dated, by, list(documents.NEWEST)).drop("_period")
-    joined = join_stations(newest, complete(stations))
-    return latest_per_key(
-        to_documents(joined, grain), [DOC_ID], list(documents.NEWEST)
+    known = complete(stations)
+    one_each = latest_per_key(
+        known, [STATION_CODE], [c for c in known.columns if c != STATION_CODE]
     )
+    return _keyed(join_stations(newest, one_each), grain)
 
 
 def raw_to_documents(

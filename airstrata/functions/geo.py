@@ -20,8 +20,14 @@ def lat_lon_text(lat: Column, lon: Column) -> Column:
 
 def number_text(number: Column) -> Column:
     """Plain decimal text without exponent and without trailing zeros."""
-    plain = number.try_cast("decimal(38,17)").cast("string")
-    return F.regexp_replace(F.regexp_replace(plain, r"0+$", ""), r"\.$", "")
+    size = F.abs(number)
+    whole = (number == F.floor(number)) & (size < 1e15)
+    exact = number.try_cast("decimal(38,17)").cast("string")
+    return (
+        F.when(whole, number.try_cast("bigint").cast("string"))
+        .when((size >= 1e-3) & (size < 1e7), number.cast("string"))
+        .otherwise(F.regexp_replace(exact, r"\.?0+$", ""))
+    )
 
 
 def _ring_text(ring: Column) -> Column:

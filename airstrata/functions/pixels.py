@@ -11,14 +11,21 @@ CHANNEL_STD = (0.229, 0.224, 0.225)
 
 def normalize_planes(planes: Column, mean=CHANNEL_MEAN, std=CHANNEL_STD) -> Column:
     """``(x/255 - mean) / std`` over planar pixels (all of channel 0, then 1, ...)."""
-    per_plane = F.size(planes) / len(mean)
-    means, stds = F.array(*map(F.lit, mean)), F.array(*map(F.lit, std))
 
-    def scaled(x, i):
-        channel = F.floor(i / per_plane).cast("int")
-        return (x / F.lit(255.0) - F.get(means, channel)) / F.get(stds, channel)
+    def scaled(m, s):
+        return lambda x: (x / F.lit(255.0) - F.lit(m)) / F.lit(s)
 
-    return F.transform(planes, scaled)
+    def every_channel(pixels):
+        length = (F.size(pixels) / len(mean)).cast("int")
+        return F.concat(
+            *[
+                F.transform(F.slice(pixels, length * c + 1, length), scaled(m, s))
+                for c, (m, s) in enumerate(zip(mean, std))
+            ]
+        )
+
+    # Bound to a lambda variable, the argument is evaluated once and not per use.
+    return F.get(F.transform(F.array(planes), every_channel), F.lit(0))
 
 
 def gray_planes(pixels: Column, channels: int = 3) -> Column:

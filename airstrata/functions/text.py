@@ -17,11 +17,11 @@ def json_number_map(column: Column) -> Column:
     )
     numeric = F.filter(pairs, lambda e: e.key.isNotNull())
 
-    def is_last(e, i):
-        later = F.slice(numeric, i + 2, F.size(numeric))
-        return ~F.exists(later, lambda other: other.key == e.key)
+    def put(done, e):
+        others = F.map_filter(done, lambda k, v: k != e.key)
+        return F.map_concat(others, F.create_map(e.key, e.value))
 
-    return F.map_from_entries(F.filter(numeric, is_last))
+    return F.reduce(numeric, F.create_map().cast("map<double,double>"), put)
 
 
 def utf8_text(column: Column) -> Column:

@@ -62,7 +62,7 @@ def json_to_table(spark, folder):
     reply = F.array(record("reading", F.col("value")), record("site", F.col("user_id")))
     path, target = workspace(spark, "replies"), workspace(spark, "table")
     table(spark, folder, "events").select(F.to_json(reply)).write.text(path)
-    schema = T._parse_datatype_string("event_id bigint, kind string, content string")
+    schema = T.DataType.fromDDL("event_id bigint, kind string, content string")
     return layers.payload_to_table(spark, path, target, schema)
 
 
@@ -73,7 +73,7 @@ def json_to_table(spark, folder):
 )
 def scan_with_schema(spark, folder):
     """The caller's schema rules: a column that the file lacks reads as NULL."""
-    schema = T._parse_datatype_string(
+    schema = T.DataType.fromDDL(
         "o_orderkey bigint, o_totalprice double, o_orderpriority string, o_note string"
     )
     orders = read_parquet(spark, f"{folder}/orders.parquet", schema=schema)

@@ -9,7 +9,8 @@ from ..functions.paths import media_type
 def list_files(spark: SparkSession, root: str, suffix: str | None = None) -> DataFrame:
     """Path, size, change time and content type of every file below ``root``.
 
-    The bytes of the files are never read: the unselected ``content`` column is pruned.
+    The bytes of the files are never read: the unselected ``content`` column is
+    pruned. Empty files, such as folder markers, are not listed.
     """
     files = (
         spark.read.format("binaryFile")

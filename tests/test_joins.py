@@ -1,0 +1,70 @@
+import pytest
+from pyspark.sql import functions as F
+
+from airstrata.operators import joins
+
+SITES = "id int, `code site` string"
+
+
+def readings(spark, *sites):
+    return spark.createDataFrame(list(enumerate(sites)), SITES)
+
+
+def codes(spark, *rows):
+    return spark.createDataFrame(list(rows), "NatlStationCode string, Name string")
+
+
+def pairs(df):
+    return sorted((r.id, r.Name) for r in df.collect())
+
+
+@pytest.mark.parametrize("join", [joins.join_stations, joins.join_stations_salted])
+def test_inner_join_keys(spark, join):
+    left = readings(spark, "A", "B", None, "A", "X")
+    right = codes(spark, ("A", "first"), ("A", "second"), ("B", "b"), (None, "none"), ("C", "c"))
+    joined = join(left, right)
+    assert pairs(joined) == [
+        (0, "first"), (0, "second"), (1, "b"), (3, "first"), (3, "second"),
+    ]
+    assert joined.columns == ["id", "code site", "NatlStationCode", "Name"]
+
+
+@pytest.mark.parametrize("join", [joins.join_stations, joins.join_stations_salted])
+def test_inner_join_of_nothing(spark, join):
+    assert join(readings(spark).limit(0), codes(spark, ("A", "a"))).count() == 0
+
+
+def test_left_join_keeps_unmatched(spark):
+    joined = joins.join_stations(readings(spark, "A", None, "X"), codes(spark, ("A", "a")), "left")
+    assert [(r.id, r.Name) for r in joined.orderBy("id").collect()] == [(0, "a"), (1, None), (2, None)]
+
+
+def hot_readings(spark, n=6000):
+    """A third of all rows at one site, the others spread thin."""
+    site = F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("S"), F.col("id") % 900))
+    return spark.range(n).select(F.col("id").cast("int").alias("id"), site.alias("code site"))
+
+
+def test_salted_join_spreads_a_hot_site_and_loses_nothing(spark):
+    left = hot_readings(spark)
+    right = left.select(F.col("code site").alias("NatlStationCode")).distinct().withColumn(
+        "Name", F.lower("NatlStationCode")
+    )
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        salted = joins.join_stations_salted(left, right, share=0.01, slices=16)
+        sizes = salted.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert pairs(salted) == pairs(joins.join_stations(left, right))
+        assert max(r["count"] for r in sizes) < 2000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_unmatched_counts_readings_per_site(spark):
+    left = readings(spark, "A", "X", "X", None)
+    found = joins.unmatched(left, codes(spark, ("A", "a"), ("A", "b")))
+    assert {r["code site"]: r.readings for r in found.collect()} == {"X": 2, None: 1}

@@ -1,11 +1,11 @@
 """Pixels, class numbers and the linear classifier."""
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.pixels import gray_planes, normalize_planes, resize
 from ..operators.learn import class_index, evaluate, predict, train_head
+from ..plans.classifier import train_and_validate
 from ..workspace import workspace
 from .registry import query
 from .tables import table
@@ -132,3 +132,11 @@ def linear_head_predict(spark, folder):
 @query("linear_head_eval")
 def linear_head_eval(spark, folder):
     return evaluate(_scored(spark, folder), "label", ["part"])
+
+
+@query("classifier_layer")
+def classifier_layer(spark, folder):
+    """Train, store, load and validate on the held-out rows."""
+    training, validation = _sets(spark, folder)
+    path = workspace(spark, "classifier")
+    return train_and_validate(training, validation, "embedding", "label", path)

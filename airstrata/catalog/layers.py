@@ -5,7 +5,7 @@ from pyspark.sql import functions as F, types as T
 from ..functions.paths import partition_value
 from ..operators.rows import quoted, require
 from ..operators.stations import station_table
-from ..plans import layers
+from ..plans import layers, tables
 from ..schemas import (
     DATE, GPS, MEASUREMENT_COLUMNS, POLLUTANT, POLLUTANT_COPY, START, VALUE, measurement_schema,
 )
@@ -63,7 +63,7 @@ def json_to_table(spark, folder):
     path, target = workspace(spark, "replies"), workspace(spark, "table")
     table(spark, folder, "events").select(F.to_json(reply)).write.text(path)
     schema = T.DataType.fromDDL("event_id bigint, kind string, content string")
-    return layers.payload_to_table(spark, path, target, schema)
+    return tables.store_payload(spark, path, target, schema)
 
 
 @query(
@@ -213,11 +213,12 @@ def _write_wide(spark, folder):
     )
     names = hourly.columns[1:]
 
+    body = hourly.select(
+        F.lit(6).alias("line"), "time", *[quoted(n).cast("string").alias(n) for n in names]
+    )
+
     def line(number, time, cells):
-        return hourly.limit(1).select(
-            F.lit(number).alias("line"), F.lit(time).alias("time"),
-            *[F.lit(c).alias(n) for c, n in zip(cells, names)],
-        )
+        return spark.createDataFrame([(number, time, *cells)], body.schema)
 
     def note(number, time, figure):
         return (
@@ -226,9 +227,6 @@ def _write_wide(spark, folder):
                     *[quoted(n).cast("string").alias(n) for n in names])
         )
 
-    body = hourly.select(
-        F.lit(6).alias("line"), "time", *[quoted(n).cast("string").alias(n) for n in names]
-    )
     lines = (
         body.unionByName(line(0, "station", [f"column {i}" for i, _ in enumerate(names)]))
         .unionByName(note(1, "readings", F.count("value")))
@@ -267,7 +265,57 @@ def _per_kind(figure, text=False):
     SELECT * FROM w WHERE {' AND '.join(f'"{k}" >= 0' for k in KINDS)}""",
 )
 def promote_header(spark, folder):
-    return layers.clean_wide_table(spark, _write_wide(spark, folder))
+    return tables.clean_wide_table(spark, _write_wide(spark, folder))
+
+
+@query(
+    "wide_layer",
+    f"""{SIGNED}, w AS (SELECT strftime(ts, '%Y-%m-%d %H:00:00') AS time, {_per_kind('min')}
+        FROM e GROUP BY 1)
+    SELECT * FROM w WHERE {' AND '.join(f'"{k}" >= 0' for k in KINDS)}""",
+)
+def wide_layer(spark, folder):
+    """The cleaned wide table as a file, read back by its new header."""
+    target = workspace(spark, "wide-clean")
+    tables.store_wide_table(spark, _write_wide(spark, folder), target)
+    doubles = [T.StructField(k, T.DoubleType()) for k in KINDS]
+    schema = T.StructType([T.StructField("time", T.StringType()), *doubles])
+    return read_delimited(spark, target, schema, sep=",")
+
+
+@query(
+    "station_layer",
+    f"""WITH s AS ({STATIONS})
+    SELECT "NatlStationCode", "Name", "Latitude", "Longitude",
+        '(' || "Latitude" || ', ' || "Longitude" || ')' AS "GPS" FROM s""",
+)
+def station_layer(spark, folder):
+    """The station list as landed, then the station table as a file."""
+    path, target = workspace(spark, "station-list"), workspace(spark, "stations")
+    write_delimited(stations(spark, folder), path)
+    tables.store_stations(spark, path, target)
+    schema = station_table(stations(spark, folder)).schema
+    return read_delimited(spark, target, schema, sep=",")
+
+
+@query(
+    "map_layer",
+    """SELECT c_custkey AS region, 'POLYGON ((' || c_nationkey || ' ' || c_custkey || ', '
+        || (c_nationkey + 4) || ' ' || c_custkey || '.5, ' || c_nationkey || ' ' || c_custkey
+        || '))' AS geometry FROM customer""",
+)
+def map_layer(spark, folder):
+    """Region outlines as rings in Parquet, then as WKT in delimited text."""
+    path, target = workspace(spark, "shapes"), workspace(spark, "map")
+    x, y = F.col("c_nationkey").cast("double"), F.col("c_custkey").cast("double")
+    corners = [(x, y), (x + 4, y + 0.5), (x, y)]
+    ring = F.array(*[F.struct(a.alias("x"), b.alias("y")) for a, b in corners])
+    table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("region"), F.array(ring).alias("rings")
+    ).write.parquet(path)
+    tables.store_map(spark, path, target)
+    schema = T.DataType.fromDDL("region bigint, geometry string")
+    return read_delimited(spark, target, schema, sep=",")
 
 
 @query(

@@ -6,7 +6,7 @@ from ..functions.casting import as_double
 from ..functions.geo import lon_lat
 from ..functions.keys import document_key, key_array
 from ..functions.times import (
-    day_compact, day_text, days_before, iso_text, parse_time, year_text,
+    day_compact, day_text, days_before, iso_text, landed_name, parse_time, year_text,
 )
 from ..operators import joins, profile, rows
 from ..operators.rows import quoted
@@ -52,7 +52,8 @@ def stamp_and_copy(spark, folder):
 @query(
     "run_date_tokens",
     """SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y%m%d') AS folder,
-        strftime(ts, '%Y') AS year, strftime(ts - INTERVAL 1 DAY, '%Y-%m-%d') AS day_before
+        strftime(ts, '%Y') AS year, strftime(ts - INTERVAL 1 DAY, '%Y-%m-%d') AS day_before,
+        'FR_E2_' || strftime(ts, '%Y-%m-%d') || '.csv' AS file
     FROM events""",
 )
 def run_date_tokens(spark, folder):
@@ -63,6 +64,7 @@ def run_date_tokens(spark, folder):
         day_compact(ts).alias("folder"),
         year_text(ts).alias("year"),
         day_text(days_before(ts, 1)).alias("day_before"),
+        landed_name(ts).alias("file"),
     )
 
 

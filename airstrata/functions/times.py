@@ -42,3 +42,8 @@ def year_text(column: Column) -> Column:
 def days_before(column: Column, days: int) -> Column:
     """The date ``days`` days earlier."""
     return F.date_sub(F.to_date(column), days)
+
+
+def landed_name(column: Column) -> Column:
+    """Name of a day's measurement file, ``FR_E2_2025-03-01.csv``."""
+    return F.concat(F.lit("FR_E2_"), day_text(column), F.lit(".csv"))

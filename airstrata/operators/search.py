@@ -54,9 +54,8 @@ def bm25(
 ) -> DataFrame:
     """The ``k`` best documents by Okapi BM25 over all ``text_columns`` together.
 
-    The text is read and cut once, without a shuffle: its counts - an id and a
-    few numbers per document - are written to the shared folder when this is
-    called. The corpus figures are one aggregate over them, read back as a
+    The text is read and cut once and never shuffled: its counts - an id and a few
+    numbers per document - are written to the shared folder when this is called. The corpus figures are one aggregate over them, read back as a
     scalar subquery, and the ranking ends in a distributed top-k.
     """
     terms = query_words(query)
@@ -64,7 +63,8 @@ def bm25(
         return df.select(quoted(id_column), F.lit(0.0).alias("score")).where(F.lit(False))
     spark = df.sparkSession
     stored = workspace(spark, "word-counts")
-    word_counts(df, terms, id_column, text_columns).write.parquet(stored)
+    # Rebalanced, so that many scan tasks do not leave as many tiny files.
+    word_counts(df, terms, id_column, text_columns).hint("rebalance").write.parquet(stored)
     counts = spark.read.parquet(stored)
 
     corpus = counts.agg(

@@ -14,7 +14,7 @@ from ..functions.times import iso_text, parse_time
 from ..operators.joins import join_stations
 from ..operators.latest import latest_per_key
 from ..operators.rows import (
-    complete, copy_column, is_present, nonnegative, project, quoted, require, split_rejects, stamp_date,
+    complete, copy_column, is_present, project, quoted, split_rejects, stamp_date,
 )
 from ..operators.stations import station_table
 from ..schemas import (
@@ -22,11 +22,8 @@ from ..schemas import (
     REQUIRED_COLUMNS, SITE, START, STATION_CODE, VALIDITY, VALUE,
 )
 from ..sinks import documents
-from ..sinks.layers import write_delimited, write_layer
-from ..sources.tables import (
-    read_delimited, read_json_payload, read_measurements, read_parquet, read_stations,
-)
-from ..sources.wide import read_wide_table
+from ..sinks.layers import write_layer
+from ..sources.tables import read_measurements, read_parquet, read_stations
 
 # Length of the period in which readings of a site and pollutant share a document.
 GRAINS = {"day": "yyyy-MM-dd", "hour": "yyyy-MM-dd'T'HH"}
@@ -136,14 +133,3 @@ def raw_to_documents(
     docs = to_documents(read_parquet(spark, f"{work}/L2", schema=combined.schema))
     documents.upsert(docs, f"{work}/documents", batch)
     return documents.read_documents(spark, f"{work}/documents", schema=docs.schema)
-
-
-def payload_to_table(spark: SparkSession, path: str, target: str, schema) -> DataFrame:
-    """Landed JSON replies to delimited text, and that table."""
-    write_delimited(read_json_payload(spark, path, schema), target)
-    return read_delimited(spark, target, schema, sep=",")
-
-
-def clean_wide_table(spark: SparkSession, path: str) -> DataFrame:
-    """Wide station table: rows with a time and no missing or negative value."""
-    return nonnegative(require(read_wide_table(spark, path), ["time"]))

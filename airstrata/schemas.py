@@ -62,3 +62,12 @@ STATION_SCHEMA = T.StructType(
 COMBINED_SCHEMA = T.StructType(
     measurement_schema(T.TimestampType()).fields + STATION_SCHEMA.fields
 )
+
+# A region's outline: the outer ring, then its holes.
+_POINT = T.StructType(_fields(["x", "y"], T.DoubleType()))
+SHAPE_SCHEMA = T.StructType(
+    [
+        T.StructField("region", T.LongType(), True),
+        T.StructField("rings", T.ArrayType(T.ArrayType(_POINT)), True),
+    ]
+)

@@ -34,13 +34,15 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Upsert every micro-batch into the store, then stop when the input is used up.
 
-    ``prepare`` turns landed rows into documents. The micro-batch number names
-    the batch in the store: one that is replayed after a failure overwrites its
-    own folders, so each file takes effect exactly once.
+    ``prepare`` turns landed rows into documents. The stream's id, which lives in
+    its checkpoint, and the micro-batch number name the batch in the store: one
+    that is replayed after a failure overwrites its own folders and no others,
+    so each file takes effect exactly once.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        upsert(prepare(batch), root, f"stream-{number}", order)
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        upsert(prepare(batch), root, f"{stream}-{number}", order)
 
     return (
         rows.writeStream.foreachBatch(write)

@@ -15,6 +15,18 @@ def connection():
     return duck(FOLDER)
 
 
+IN_PYTHON = {"resize_images"}
+
+
+def check_plan(name, df):
+    """No pairing of all rows, and Python only where no built-in exists."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in text
+    if name not in IN_PYTHON:
+        assert "Python" not in text and "InPandas" not in text
+
+
 def test_registry():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
@@ -22,6 +34,7 @@ def test_registry():
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_agrees_with_sql(spark, connection, name):
     df = entry.queries()[name](spark, FOLDER)
+    check_plan(name, df)
     assert differences(df, connection, entry.oracle_sql()[name]) == ""
 
 

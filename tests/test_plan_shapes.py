@@ -10,23 +10,12 @@ from airstrata.sinks.layers import write_layer
 from airstrata.sources.tables import read_parquet
 
 FOLDER = "/root/testdata/sf0.001"
-EAGER = {"linear_head_train"}
-IN_PYTHON = {"resize_images"}
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - EAGER))
-def test_no_pairing_of_rows_and_no_python(spark, name):
-    text = plan(entry.queries()[name](spark, FOLDER))
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert node not in text
-    if name not in IN_PYTHON:
-        assert "Python" not in text and "InPandas" not in text
-
-
 def test_required_columns_reach_the_scan(spark, tmp_path):
     spark.createDataFrame([(1, 1.0, "a"), (2, None, "b")], "id int, v double, w string").write.parquet(
         str(tmp_path / "t")

@@ -13,7 +13,7 @@ from airstrata.sources.tables import (
     read_delimited, read_json_payload, read_measurements, read_parquet, read_stations,
 )
 from airstrata.sources.wide import read_notes, read_wide_table
-from airstrata.plans.layers import clean_wide_table, payload_to_table
+from airstrata.plans.tables import clean_wide_table, store_map, store_payload, store_stations, store_wide_table
 
 from data import raw, reading, stations
 
@@ -104,7 +104,7 @@ def test_json_payloads(spark, tmp_path):
     (tmp_path / "whole.json").write_text('[\n {"id":1,\n "name":"a"},\n {"id":2}\n]\n')
     whole = read_json_payload(spark, str(tmp_path / "whole.json"), SCHEMA, whole_file=True)
     assert sorted(map(tuple, whole.collect()), key=repr) == [(1, "a"), (2, None)]
-    table = payload_to_table(spark, str(tmp_path / "lines.json"), str(tmp_path / "csv"), SCHEMA)
+    table = store_payload(spark, str(tmp_path / "lines.json"), str(tmp_path / "csv"), SCHEMA)
     assert sorted(r.id for r in table.collect()) == [1, 2, 3]
 
 
@@ -186,3 +186,24 @@ def test_labelled_images(spark, pictures):
     normal = small.where("class_index = 0").select(normalize_planes(F.col("planes")).alias("x")).first().x
     assert abs(normal[0] - (250 / 255 - 0.485) / 0.229) < 1e-12
     assert abs(normal[17] - (5 / 255 - 0.406) / 0.225) < 1e-12
+
+
+def test_side_tables(spark, tmp_path):
+    write_delimited(stations(spark), str(tmp_path / "list"))
+    store_stations(spark, str(tmp_path / "list"), str(tmp_path / "stations"))
+    table = spark.read.option("header", True).csv(str(tmp_path / "stations"))
+    assert table.columns == ["NatlStationCode", "Name", "Latitude", "Longitude", "GPS"]
+    assert table.where("Name = 'BASSENS'").first().GPS == "(44.900295, -0.515835)"
+
+    (tmp_path / "wide.csv").write_text(WIDE)
+    store_wide_table(spark, str(tmp_path / "wide.csv"), str(tmp_path / "wide"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "wide")).columns == ["time", "FR1", "FR,2"]
+
+    rings = [[(0.0, 0.0), (4.0, 0.0), (0.0, 0.0)]]
+    fields = "region bigint, rings array<array<struct<x:double,y:double>>>"
+    spark.createDataFrame([(1, rings), (2, [])], fields).write.parquet(str(tmp_path / "shapes"))
+    store_map(spark, str(tmp_path / "shapes"), str(tmp_path / "map"))
+    stored = spark.read.option("header", True).csv(str(tmp_path / "map"))
+    assert {r.region: r.geometry for r in stored.collect()} == {
+        "1": "POLYGON ((0 0, 4 0, 0 0))", "2": "POLYGON EMPTY",
+    }

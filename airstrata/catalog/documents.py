@@ -1,5 +1,7 @@
 """Document store, bulk records and the streaming upsert."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from ..functions.times import iso_text
@@ -82,6 +84,20 @@ def bulk_actions(spark, folder):
     return documents.bulk_lines(upsert_latest(spark, folder), "readings")
 
 
+def _small_index(pairs):
+    """Stands in for an index that takes no value above 100."""
+    return ["too high" if json.loads(body)[VALUE] > 100 else None for _, body in pairs]
+
+
+@query(
+    "publish_refused",
+    f"""SELECT doc_id, 'too high' AS error FROM ({LATEST_DOCUMENTS}) WHERE "valeur" > 100""",
+)
+def publish_refused(spark, folder):
+    """Every current document is sent; the result is what was refused."""
+    return documents.publish(upsert_latest(spark, folder), _small_index)
+
+
 @query("stream_upsert", LATEST_DOCUMENTS)
 def stream_events(spark, folder):
     """The event files as a stream into the store, then the store's current rows."""

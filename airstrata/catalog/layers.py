@@ -3,22 +3,24 @@
 from pyspark.sql import functions as F, types as T
 
 from ..functions.paths import partition_value
-from ..operators.rows import quoted, require
+from ..operators.rows import project, quoted
 from ..operators.stations import station_table
 from ..plans import layers, tables
 from ..schemas import (
-    DATE, GPS, MEASUREMENT_COLUMNS, POLLUTANT, POLLUTANT_COPY, START, VALUE, measurement_schema,
+    DATE, GPS, POLLUTANT, POLLUTANT_COPY, START, VALUE, measurement_schema,
 )
+from ..sinks.documents import read_documents
 from ..sinks.layers import write_delimited, write_layer
 from ..sources.listing import list_files
 from ..sources.tables import read_delimited, read_json_payload, read_parquet
 from ..sources.wide import read_notes
+from ..streaming.landing import landed_files, stream_upsert
 from ..workspace import workspace
 from .registry import query
 from .rows import iso
 from .tables import (
     ISO_TIMES, MEASUREMENTS, OTHER_COLUMNS, STATIONS,
-    as_measurements, landed, measurements, stations, table,
+    landed, measurements, stations, table,
 )
 
 LANDED_START = """CASE WHEN event_id % 19 = 0 THEN 'n/a'
@@ -156,12 +158,12 @@ DOCUMENT_COLUMNS = """doc_id, strftime(start, '%Y-%m-%dT%H:%M:%S') AS "Date de d
     "Longitude", date, "Longitude" AS gps_first, "Latitude" AS gps_second"""
 
 
-def _documents_sql(start, extra=""):
+def _documents_sql(start, extra="", period="%Y-%m-%d"):
     return f"""WITH m AS ({MEASUREMENTS}), s AS ({STATIONS}),
     clean AS (SELECT {start} AS start, m.* FROM m WHERE {CLEAN} {extra}),
     joined AS (
         SELECT strftime(start, '%Y-%m-%d') AS date,
-            strftime(start, '%Y-%m-%d') || '_' || "code site" || '_' || "Polluant" AS doc_id, *
+            strftime(start, '{period}') || '_' || "code site" || '_' || "Polluant" AS doc_id, *
         FROM clean JOIN s ON "code site" = "NatlStationCode" WHERE "Latitude" IS NOT NULL)
     SELECT {DOCUMENT_COLUMNS} FROM joined
     QUALIFY row_number() OVER (PARTITION BY doc_id
@@ -188,6 +190,14 @@ def latest_station_documents(spark, folder):
     return _show_documents(docs)
 
 
+@query("hourly_station_documents", _documents_sql('"Date de début"', period="%Y-%m-%dT%H"))
+def hourly_station_documents(spark, folder):
+    """One document per hour instead of per day."""
+    cleaned = layers.clean(measurements(spark, folder))
+    known = station_table(stations(spark, folder))
+    return _show_documents(layers.latest_documents(cleaned, known, grain="hour"))
+
+
 @query(
     "raw_to_documents",
     _documents_sql("date_trunc('second', \"Date de début\")", "AND event_id % 19 <> 0"),
@@ -201,6 +211,24 @@ def raw_to_documents(spark, folder):
     return _show_documents(docs)
 
 
+@query(
+    "stream_landed_documents",
+    _documents_sql("date_trunc('second', \"Date de début\")", "AND event_id % 19 <> 0"),
+)
+def stream_landed_documents(spark, folder):
+    """Landed text as a stream: each micro-batch is cleaned, joined and upserted."""
+    work = workspace(spark, "landing")
+    write_delimited(project(landed(spark, folder)), f"{work}/raw", sep=";")
+    known = station_table(stations(spark, folder))
+
+    def prepare(batch):
+        return layers.to_documents(layers.combine(layers.clean(batch), known))
+
+    files = landed_files(spark, f"{work}/raw")
+    stream_upsert(files, f"{work}/store", f"{work}/checkpoint", prepare).awaitTermination()
+    return _show_documents(read_documents(spark, f"{work}/store"))
+
+
 def _write_wide(spark, folder):
     """Hourly minimum per event type, below a block of header, name and note rows."""
     events = table(spark, folder, "events").withColumn(

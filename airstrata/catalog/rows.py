@@ -13,7 +13,7 @@ from ..operators.rows import quoted
 from ..operators.stations import station_table
 from ..plans.layers import entry_rules
 from ..schemas import (
-    DATE, END, GPS, LATITUDE, LONGITUDE, POLLUTANT, SITE, START, STATION_CODE, VALUE,
+    DATE, END, GPS, LATITUDE, LONGITUDE, POLLUTANT, RAW_VALUE, SITE, START, STATION_CODE, VALUE,
 )
 from .registry import query
 from .tables import (
@@ -216,7 +216,7 @@ def distinct_pollutants(spark, folder):
 )
 def row_count_audit(spark, folder):
     readings = measurements(spark, folder)
-    good = rows.is_present(readings, VALUE) & rows.is_present(readings, "valeur brute")
+    good = rows.is_present(readings, VALUE) & rows.is_present(readings, RAW_VALUE)
     return profile.count_audit(readings, good)
 
 
@@ -234,6 +234,32 @@ def profile_numeric(spark, folder):
     )
 
 
+@query(
+    "gap_counts",
+    f"""WITH m AS ({MEASUREMENTS}), t AS (SELECT count(*) - count("valeur") AS a,
+            count(*) - count("valeur brute") AS b FROM m)
+    SELECT 'valeur' AS "column", a AS missing FROM t
+    UNION ALL SELECT 'valeur brute', b FROM t
+    UNION ALL SELECT 'Polluant', 0 FROM t""",
+)
+def gap_counts(spark, folder):
+    return profile.gap_counts(measurements(spark, folder).select(VALUE, RAW_VALUE, POLLUTANT))
+
+
+@query(
+    "reject_counts",
+    f"""WITH m AS ({MEASUREMENTS})
+    SELECT CASE WHEN "valeur" IS NULL THEN 'no valeur'
+        WHEN "valeur brute" IS NULL THEN 'no valeur brute'
+        WHEN event_id % 19 = 0 THEN 'unreadable Date de début'
+        WHEN "validité" <= 0 THEN 'not valid' END AS reason, count(*) AS rows
+    FROM m GROUP BY 1""",
+)
+def reject_counts(spark, folder):
+    raw = landed(spark, folder)
+    return profile.reject_counts(raw, entry_rules(raw, only_valid=True))
+
+
 @query(
     "parse_timestamps",
     """SELECT event_id, CASE WHEN event_id % 19 <> 0

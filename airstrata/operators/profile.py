@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..schemas import POLLUTANT, ZONE
-from .rows import quoted
+from .rows import is_present, quoted, with_reason
 
 
 def count_by(df: DataFrame, columns=(ZONE, POLLUTANT)) -> DataFrame:
@@ -40,3 +40,17 @@ def profile(df: DataFrame) -> DataFrame:
         ).alias("columns")
     )
     return wide.select(F.inline("columns"))
+
+
+def gap_counts(df: DataFrame) -> DataFrame:
+    """For each column the number of rows that ``complete`` drops on its account."""
+    counts = [
+        F.struct(F.lit(n).alias("column"), F.count_if(~is_present(df, n)).alias("missing"))
+        for n in df.columns
+    ]
+    return df.agg(F.array(*counts).alias("columns")).select(F.inline("columns"))
+
+
+def reject_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """Rows per reject reason; rows without a reason are the accepted ones."""
+    return with_reason(df, rules).groupBy("reason").agg(F.count("*").alias("rows"))

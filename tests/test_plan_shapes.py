@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from airstrata.operators.rows import require
-from airstrata.operators.joins import unmatched
+from airstrata.operators.joins import join_stations, unmatched
 from airstrata.sinks.layers import write_layer
 from airstrata.sources.tables import read_parquet
+from airstrata.workspace import shared_folder, workspace
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -67,3 +68,48 @@ def test_result_does_not_depend_on_shuffle_partitions(spark, name):
         results.append(sorted(map(repr, entry.queries()[name](spark, FOLDER).collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1]
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_site_is_split_by_adaptive_join(spark, how):
+    """With stations too large to broadcast, a site with a third of the rows is cut up."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        site = F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("S"), F.col("id") % 997))
+        left = spark.range(0, 40000, 1, 8).select("id", site.alias("code site"))
+        code = F.when(F.col("id") == 997, "HOT").otherwise(F.concat(F.lit("S"), F.col("id")))
+        right = spark.range(998).select(code.alias("NatlStationCode"))
+        joined = join_stations(left, right, how)
+        assert len(joined.collect()) == 40000
+        assert "skew=true" in plan(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_workspace_follows_the_session(spark):
+    named = spark.conf.get("spark.checkpoint.dir")
+    first, second = workspace(spark, "x"), workspace(spark, "x")
+    assert first.startswith(f"{named}/airstrata/x-") and first != second
+
+
+def test_cluster_without_shared_folder_is_refused():
+    class Context:
+        master = "yarn"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session)

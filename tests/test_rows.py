@@ -117,3 +117,13 @@ def test_count_by_and_distinct(spark):
     counted = {(r.Zas, r.Polluant): r["count"] for r in profile.count_by(df).collect()}
     assert counted == {("ZAG BORDEAUX", "NO2"): 2, ("ZAG BORDEAUX", "O3"): 1, (None, "NO2"): 1}
     assert sorted(r.Polluant for r in profile.distinct_values(df).collect()) == ["NO2", "O3"]
+
+
+def test_gaps_and_rejects_are_counted(spark):
+    df = gaps(spark)
+    assert {r["column"]: r.missing for r in profile.gap_counts(df).collect()} == {
+        "id": 0, "number": 2, "pair": 1, "name": 1,
+    }
+    rules = {"no number": rows.is_present(df, "number"), "no name": rows.is_present(df, "name")}
+    counted = {r.reason: r.rows for r in profile.reject_counts(df, rules).collect()}
+    assert counted == {None: 2, "no number": 2, "no name": 1}

@@ -1,5 +1,7 @@
 """Small literal frames."""
 
+from contextlib import contextmanager
+
 from airstrata.schemas import MEASUREMENT_COLUMNS, measurement_schema
 
 GOOD = {
@@ -51,3 +53,17 @@ def times(hour):
         "Date_de_début": f"2025/03/01 {hour:02d}:00:00",
         "Date_de_fin": f"2025/03/01 {hour + 1:02d}:00:00",
     }
+
+
+@contextmanager
+def settings(spark, **values):
+    """Session settings for a while; ``__`` in a name stands for a dot."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for key, value in names.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

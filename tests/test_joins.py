@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from airstrata.operators import joins
 
+from data import settings
+
 SITES = "id int, `code site` string"
 
 
@@ -50,18 +52,13 @@ def test_salted_join_spreads_a_hot_site_and_loses_nothing(spark):
     right = left.select(F.col("code site").alias("NatlStationCode")).distinct().withColumn(
         "Name", F.lower("NatlStationCode")
     )
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
-    before = {k: spark.conf.get(k) for k in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
+    with settings(
+        spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"
+    ):
         salted = joins.join_stations_salted(left, right, share=0.01, slices=16)
         sizes = salted.groupBy(F.spark_partition_id().alias("task")).count().collect()
         assert pairs(salted) == pairs(joins.join_stations(left, right))
         assert max(r["count"] for r in sizes) < 2000
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
 
 
 def test_unmatched_counts_readings_per_site(spark):

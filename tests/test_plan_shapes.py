@@ -10,6 +10,8 @@ from airstrata.sinks.layers import write_layer
 from airstrata.sources.tables import read_parquet
 from airstrata.workspace import shared_folder, workspace
 
+from data import settings
+
 FOLDER = "/root/testdata/sf0.001"
 
 
@@ -43,13 +45,8 @@ def test_flagship_moves_readings_once(spark):
 
 
 def test_large_stations_are_not_broadcast(spark):
-    name = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(name)
-    try:
-        spark.conf.set(name, "1KB")
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="1KB"):
         text = plan(entry.queries()["join_station_inner"](spark, FOLDER))
-    finally:
-        spark.conf.set(name, before)
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
 
 
@@ -64,26 +61,22 @@ def test_sites_are_counted_before_they_are_joined(spark):
 def test_result_does_not_depend_on_shuffle_partitions(spark, name):
     results = []
     for partitions in ("1", "13"):
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
-        results.append(sorted(map(repr, entry.queries()[name](spark, FOLDER).collect())))
-    spark.conf.set("spark.sql.shuffle.partitions", "8")
+        with settings(spark, spark__sql__shuffle__partitions=partitions):
+            results.append(sorted(map(repr, entry.queries()[name](spark, FOLDER).collect())))
     assert results[0] == results[1]
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_hot_site_is_split_by_adaptive_join(spark, how):
     """With stations too large to broadcast, a site with a third of the rows is cut up."""
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
-    }
-    before = {k: spark.conf.get(k) for k in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
+    ):
         site = F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("S"), F.col("id") % 997))
         left = spark.range(0, 40000, 1, 8).select("id", site.alias("code site"))
         code = F.when(F.col("id") == 997, "HOT").otherwise(F.concat(F.lit("S"), F.col("id")))
@@ -91,9 +84,6 @@ def test_hot_site_is_split_by_adaptive_join(spark, how):
         joined = join_stations(left, right, how)
         assert len(joined.collect()) == 40000
         assert "skew=true" in plan(joined)
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
 
 
 def test_workspace_follows_the_session(spark):

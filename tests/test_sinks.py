@@ -10,7 +10,7 @@ from airstrata.schemas import DATE, POLLUTANT
 from airstrata.sinks import documents
 from airstrata.sinks.layers import write_delimited, write_layer
 
-from data import raw, reading, stations, times
+from data import raw, reading, settings, stations, times
 
 DOC = "doc_id string, date string, `Date de début` string, `Date de fin` string, valeur double"
 
@@ -45,17 +45,12 @@ def test_touched_only_leaves_other_folders(spark, tmp_path):
 
 def test_hot_folder_is_split_over_tasks(spark, tmp_path):
     """A folder with most rows gets several files, each row once."""
-    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(name)
-    try:
-        spark.conf.set(name, "64KB")
-        df = spark.range(0, 60000, 1, 8).select(
-            F.when(F.col("id") % 3 < 2, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 5)).alias(POLLUTANT),
-            F.sha2(F.col("id").cast("string"), 256).alias("Zas"), "id",
-        )
+    hot = F.when(F.col("id") % 3 < 2, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 5))
+    df = spark.range(0, 60000, 1, 8).select(
+        hot.alias(POLLUTANT), F.sha2(F.col("id").cast("string"), 256).alias("Zas"), "id"
+    )
+    with settings(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB"):
         write_layer(df, str(tmp_path / "hot"))
-    finally:
-        spark.conf.set(name, before)
     files = [f for f in os.listdir(tmp_path / "hot" / "Polluant=hot") if f.endswith(".parquet")]
     assert len(files) > 1
     stored = spark.read.parquet(str(tmp_path / "hot"))

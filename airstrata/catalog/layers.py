@@ -12,7 +12,7 @@ from ..schemas import (
 from ..sinks.documents import read_documents
 from ..sinks.layers import write_delimited, write_layer
 from ..sources.listing import list_files
-from ..sources.tables import read_delimited, read_json_payload, read_parquet
+from ..sources.tables import read_delimited, read_parquet
 from ..sources.wide import read_notes
 from ..streaming.landing import landed_files, stream_upsert
 from ..workspace import workspace

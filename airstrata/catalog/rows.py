@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.casting import as_double
+from ..functions.casting import as_double, as_integer
 from ..functions.geo import lon_lat
 from ..functions.keys import document_key, key_array
 from ..functions.times import (
@@ -117,6 +117,7 @@ def reject_split(spark, folder):
     "cast_tolerant",
     """SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN value END AS as_double,
         event_id::VARCHAR AS as_text,
+        CASE WHEN event_id % 4 <> 0 THEN event_id::INTEGER END AS as_integer,
         CASE WHEN event_id % 3 <> 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS as_time
     FROM events""",
 )
@@ -126,11 +127,13 @@ def cast_tolerant(spark, folder):
         "event_id",
         F.when(event % 5 != 0, F.col("value").cast("string")).otherwise("n/a").alias("number"),
         F.when(event % 3 != 0, F.col("ts").cast("string")).otherwise("soon").alias("time"),
+        F.when(event % 4 != 0, event.cast("string")).otherwise("12a").alias("digits"),
     )
     return dirty.select(
         "event_id",
         as_double(F.col("number")).alias("as_double"),
         event.cast("string").alias("as_text"),
+        as_integer(F.col("digits")).alias("as_integer"),
         iso_text(F.col("time").try_cast("timestamp")).alias("as_time"),
     )
 

@@ -17,7 +17,7 @@ def media_type(path: Column) -> Column:
     return kind
 
 
-def _percent_decode(column: Column) -> Column:
+def percent_decode(column: Column) -> Column:
     return F.url_decode(F.replace(column, F.lit("+"), F.lit("%2B")))
 
 
@@ -28,4 +28,4 @@ def partition_value(path: Column, key: str) -> Column:
     to characters such as ``:`` or ``%`` in folder names.
     """
     folder = F.regexp_extract(path, f"/{re.escape(key)}=([^/]+)/", 1)
-    return F.nullif(_percent_decode(_percent_decode(folder)), F.lit(""))
+    return F.nullif(percent_decode(percent_decode(folder)), F.lit(""))

@@ -54,8 +54,9 @@ def bm25(
 ) -> DataFrame:
     """The ``k`` best documents by Okapi BM25 over all ``text_columns`` together.
 
-    The text is read and cut once and never shuffled: its counts - an id and a few
-    numbers per document - are written to the shared folder when this is called. The corpus figures are one aggregate over them, read back as a
+    The text is read and cut once and never shuffled: its counts - an id and a
+    few numbers per document - are written to the shared folder when this is
+    called. The corpus figures are one aggregate over them, read back as a
     scalar subquery, and the ranking ends in a distributed top-k.
     """
     terms = query_words(query)

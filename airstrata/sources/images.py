@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.paths import _percent_decode
+from ..functions.paths import percent_decode
 
 
 def read_labelled_images(spark: SparkSession, root: str) -> DataFrame:
@@ -17,5 +17,5 @@ def read_labelled_images(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
     )
     top = root.rstrip("/").rsplit("/", 1)[-1]
-    below = F.substring_index(_percent_decode(F.col("image.origin")), f"/{top}/", -1)
+    below = F.substring_index(percent_decode(F.col("image.origin")), f"/{top}/", -1)
     return pictures.withColumn("class_name", F.substring_index(below, "/", 1))

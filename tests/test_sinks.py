@@ -92,7 +92,8 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
 def test_compacted_store_reads_the_same_and_takes_more(spark, tmp_path):
     root, target = str(tmp_path / "store"), str(tmp_path / "compact")
     for i in range(3):
-        documents.upsert(docs(spark, ("a", "2025-03-01", i, float(i)), (f"k{i}", "2025-03-02", 0, 0.5)), root, str(i))
+        delivery = docs(spark, ("a", "2025-03-01", i, float(i)), (f"k{i}", "2025-03-02", 0, 0.5))
+        documents.upsert(delivery, root, str(i))
     documents.compact(spark, root, target)
     assert current(spark, target) == current(spark, root) == {"a": 2.0, "k0": 0.5, "k1": 0.5, "k2": 0.5}
     assert spark.read.parquet(target).count() == 4
@@ -224,6 +225,7 @@ def test_one_plan_agrees_with_stored_layers(spark, landed, grain, count):
 
 
 def test_documents_of_the_fixture_tables(spark):
-    events = spark.createDataFrame([(1, 7, "NO2", 1.0)], "event_id long, user_id long, event_type string, value double")
+    fields = "event_id long, user_id long, event_type string, value double"
+    events = spark.createDataFrame([(1, 7, "NO2", 1.0)], fields)
     df = as_documents(events.withColumn("ts", F.lit("2025-03-01 10:00:00").cast("timestamp_ntz")))
     assert df.first().doc_id == "2025-03-01_FR7_NO2"

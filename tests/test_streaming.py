@@ -54,7 +54,8 @@ def test_one_batch_many_batches_and_batch_job_agree(spark, tmp_path):
     results = []
     for name, size in (("one", None), ("many", 4)):
         files = landed_files(spark, str(tmp_path / "landing"), files_per_batch=size)
-        stream_upsert(files, str(tmp_path / name), str(tmp_path / f"ck-{name}"), prepare_with(table)).awaitTermination()
+        root, checkpoint = str(tmp_path / name), str(tmp_path / f"ck-{name}")
+        stream_upsert(files, root, checkpoint, prepare_with(table)).awaitTermination()
         results.append(current(spark, str(tmp_path / name)))
     documents.upsert(prepare_with(table)(raw(spark, *rows)), str(tmp_path / "batch"), "all")
     results.append(current(spark, str(tmp_path / "batch")))

@@ -4,6 +4,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents
+from .language import identify
+from .quality import weak_label_quality
 from .token_counts import token_counts
 from .token_files import token_files
 
@@ -20,6 +22,11 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op3_weak_label_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return weak_label_quality(documents(spark, folder))
+
+
 @query
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files(documents(spark, folder), byte_bpe())
@@ -28,3 +35,10 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(documents(spark, folder), byte_bpe())
+
+
+@query
+def op10_nearest_centroid_language(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(documents(spark, folder)).select(
+        "doc_id", "held_out", "lang_pred", "score", "rejected"
+    )

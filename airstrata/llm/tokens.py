@@ -5,14 +5,14 @@ import os
 import re
 from array import array
 
-import regex
-
 ID_BYTES = 4
 # A blank that is followed by no white space starts a new pre-token, whatever
 # stands before it: the pattern's white-space rule leaves that blank to the word.
 ODD_BLANK = re.compile(r" (?=\s|$)")
 PIECE_START = re.compile(r"(?=(?<!^) (?!\s|$))")
-LETTERS = regex.compile(r"\p{L}+")
+# Letters of every Unicode version. A sign, digit or the end must follow the run.
+LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+BLANK = chr(256 + 32)
 
 
 def byte_letters() -> dict[int, str]:
@@ -42,7 +42,7 @@ class TextEncoder:
     and any text that holds one of its added tokens, is encoded whole.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         self.tokenizer = load(path)
         self.limit = limit
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -68,14 +68,18 @@ class TextEncoder:
         return array("I", ids).tobytes()
 
     def piece(self, text: str) -> bytes:
-        """A piece: its first run of letters is one pre-token; the rest is looked up."""
+        """A piece. A first run of letters before a sign or digit is one pre-token."""
         blank = text[:1] == " "
         found = LETTERS.match(text, 1 if blank else 0)
-        if not found:
+        if not found or not text[found.end() :][:1].isascii():
             return self.rest(text)
-        head = text[: found.end()].encode().decode("latin-1").translate(self.letters)
+        head, rest = text[: found.end()], text[found.end() :]
+        if head.isascii():
+            head = BLANK + head[1:] if blank else head
+        else:
+            head = head.encode().decode("latin-1").translate(self.letters)
         ids = array("I", [t.id for t in self.model.tokenize(head)]).tobytes()
-        return ids + self.rest(text[found.end() :])
+        return ids + self.rest(rest) if rest else ids
 
     def rest(self, text: str) -> bytes:
         ids = self.rests.get(text)

@@ -8,6 +8,7 @@ from .language import identify
 from .quality import weak_label_quality
 from .token_counts import token_counts
 from .token_files import token_files
+from .winnowing import with_next
 
 QUERIES = {}
 ORACLES = {}
@@ -22,6 +23,11 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op2_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    return with_next(documents(spark, folder))
+
+
 @query
 def op3_weak_label_quality(spark: SparkSession, folder: str) -> DataFrame:
     return weak_label_quality(documents(spark, folder))

@@ -8,7 +8,6 @@ from array import array
 ID_BYTES = 4
 # A blank that is followed by no white space starts a new pre-token, whatever
 # stands before it: the pattern's white-space rule leaves that blank to the word.
-ODD_BLANK = re.compile(r" (?=\s|$)")
 PIECE_START = re.compile(r"(?=(?<!^) (?!\s|$))")
 # Letters of every Unicode version. A sign, digit or the end must follow the run.
 LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
@@ -92,8 +91,6 @@ class TextEncoder:
     def encode(self, text: str) -> bytes:
         if not self.by_piece or any(token in text for token in self.added):
             return self.whole(text)
-        if ODD_BLANK.search(text):
-            return b"".join([self.piece(p) for p in PIECE_START.split(text)])
         first, *words = text.split(" ")
         known = self.words
         if len(known) >= self.limit:
@@ -101,10 +98,13 @@ class TextEncoder:
         try:
             return self.piece(first) + b"".join([known[w] for w in words])
         except KeyError:
-            for w in words:
-                if w not in known:
-                    known[w] = self.piece(" " + w)
-            return self.piece(first) + b"".join([known[w] for w in words])
+            pass
+        for w in words:
+            if w not in known:
+                if not w or w[0].isspace():  # such a blank starts no piece
+                    return b"".join([self.piece(p) for p in PIECE_START.split(text)])
+                known[w] = self.piece(" " + w)
+        return self.piece(first) + b"".join([known[w] for w in words])
 
 
 ENCODERS: dict[str, TextEncoder] = {}

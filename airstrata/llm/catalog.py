@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import documents
 from .language import identify
 from .quality import weak_label_quality
+from .simhash import near_duplicates
 from .token_counts import token_counts
 from .token_files import token_files
 from .winnowing import with_next
@@ -23,6 +24,11 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(documents(spark, folder))
+
+
 @query
 def op2_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     return with_next(documents(spark, folder))

@@ -10,7 +10,6 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -21,9 +20,9 @@ from .common import texts
 
 GOOD, BAD, ABSTAIN = 0, 1, 2
 DIMENSIONS = 1 << 18
-SAMPLE = 20_000  # texts that train the scorer
+SAMPLE = 8_000  # texts that train the scorer
 EPOCHS = 12
-WORD_CACHE = 300_000
+WORD_CACHE = 1_000_000
 # Common English insults, in three groups that vote apart.
 INSULTS = (
     frozenset("idiot idiots idiotic moron morons moronic stupid dumb imbecile fool".split()),
@@ -31,6 +30,8 @@ INSULTS = (
     frozenset("trash scum garbage disgusting vermin filth filthy disgrace".split()),
 )
 WORD = re.compile(r"[^\W_]+")
+UPPER_RUN, LOWER_RUN = re.compile(r"[A-Z]"), re.compile(r"[^\W\dA-Z_]")
+DIGIT_RUN, SAME = re.compile(r"\d"), re.compile(r"(.)\1+")
 # Kinds of byte: other, lower-case letter, upper-case letter, digit, white space, sign.
 KINDS = np.zeros(256, np.int64)
 KINDS[[*range(33, 127)]] = 5
@@ -60,83 +61,107 @@ TONE = (
 )
 
 
-class WordTable:
-    """Feature number and signs of words, kept for words that were met."""
-
-    def __init__(self):
-        self.known: dict[str, tuple] = {}
-
-    def __getitem__(self, word: str) -> tuple:
-        if len(self.known) > WORD_CACHE:
-            self.known.clear()
-        found = self.known.get(word)
-        if found is None:
-            found = self.known[word] = self.look(word)
-        return found
-
-    @staticmethod
-    def look(word: str) -> tuple:
-        """(word hashed twice, its shape hashed, ends in signs, only signs, no letter, insults per group)."""
-        inner = WORD.findall(word.lower())
-        bare = word.rstrip("".join({c for c in word if not c.isalnum()}))
-        shape = re.sub(r"(.)\1+", r"\1\1", "".join(
-            "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word
-        ))
-        bare_word = " ".join(inner)
-        return (
-            xxhash.xxh32_intdigest(bare_word, 1) % DIMENSIONS,
-            xxhash.xxh32_intdigest(bare_word, 2) % DIMENSIONS,
-            xxhash.xxh32_intdigest(shape[-3:], 3) % (DIMENSIONS - 1),
-            len(word) - len(bare) >= 2 and bool(bare),
-            not inner,
-            not any(map(str.isalpha, word)),
-            *[sum(w in group for w in inner) for group in INSULTS],
+class Words(dict):
+    """Numbers words, and keeps of each number the hashes and signs of its word.
+
+    Per number: the word hashed to two features, its shape to one, and whether it
+    ends in signs, is only signs, has no letter, then its insults per group.
+    """
+
+    def __init__(self, limit: int = WORD_CACHE):
+        self.limit = limit
+        self.hashed = np.zeros((limit, 3), np.int32)
+        self.signs = np.zeros((limit, 3 + len(INSULTS)), np.uint8)
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        lower = word.lower()
+        inner = [lower] if lower.isalpha() else WORD.findall(lower)
+        mixed = xxhash.xxh64_intdigest(" ".join(inner))
+        if word.isalpha():
+            shape = "aa" if word.islower() else "Aa" if word.istitle() else "AA" if word.isupper() else "aA"
+        else:
+            shape = SAME.sub(r"\1\1", LOWER_RUN.sub("a", UPPER_RUN.sub("A", DIGIT_RUN.sub("0", word))))[-3:]
+            last = 0
+            while last < len(word) and not word[-1 - last].isalnum():
+                last += 1
+            self.signs[number, :3] = (
+                2 <= last < len(word), not inner, not any(map(str.isalpha, word)),
+            )
+        self.hashed[number] = (
+            mixed % DIMENSIONS,
+            (mixed >> 32) % DIMENSIONS,
+            xxhash.xxh32_intdigest(shape) % (DIMENSIONS - 1),
         )
+        for group, insults in enumerate(INSULTS):
+            self.signs[number, 3 + group] = sum(w in insults for w in inner)
+        return number
 
+    def numbers(self, text: str | None) -> np.ndarray:
+        """The words of a text by number; they hold until the next call."""
+        words = (text or "").split()
+        if len(self) + len(words) > self.limit:
+            signs, hashed = self.signs, self.hashed
+            self.clear()
+            signs[:] = 0
+            hashed[:] = 0
+            if len(words) > self.limit:  # a text of more words than are kept
+                self.__init__(2 * len(words))
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
-TABLE = WordTable()
 
+TABLES: list[Words] = []
 
-def read(text: str | None) -> tuple | None:
-    """Form and tone of a text, each as (measures, feature numbers, feature values).
 
-    Form has hashed shapes of words, in unit length, with the share of repeats;
-    tone the presence of words, each under two numbers, so that a word that
-    shares one number with an insult has half its weight. None without words.
-    """
-    words = (text or "").split()
-    if not words:
-        return None
-    n, counted = len(words), Counter(words)
-    seen = [(TABLE[w], c) for w, c in counted.items()]
+def table() -> Words:
+    """One table per worker process."""
+    if not TABLES:
+        TABLES.append(Words())
+    return TABLES[0]
+
+
+def measures(words: Words, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the labellers of form and of tone measure in a text of at least one word."""
+    n = len(ids)
     kinds = np.bincount(KINDS[np.frombuffer(text.encode("utf-8", "replace"), np.uint8)], minlength=6)
     visible, letters = kinds.sum() - kinds[4], kinds[1] + kinds[2]
-    repeats = sum(map(eq, words, words[1:]))
-    near = repeats + sum(map(eq, words, words[2:]))
-    pairs = len(set(zip(words, words[1:])))
+    distinct, counts = np.unique(ids, return_counts=True)
+    signs = words.signs[distinct].astype(np.int64)
+    sums = counts @ signs
+    repeats = np.count_nonzero(ids[1:] == ids[:-1])
+    near = repeats + np.count_nonzero(ids[2:] == ids[:-2])
+    pairs = len(np.unique(ids[1:] * (1 << 32) + ids[:-1]))
     form = [
         kinds[5] / max(visible, 1),
         kinds[2] / max(letters, 1),
         repeats / n,
         near / n,
         1 - (pairs + 1) / n if n >= 20 else 0.0,
-        sum(sorted(counted.values())[-5:]) / n if n >= 20 else 0.6,
-        sum(c for f, c in seen if f[3]) / n,
-        sum(c for f, c in seen if f[4]) / n,
-        sum(c for f, c in seen if f[5]) / n,
+        np.sort(counts)[-5:].sum() / n if n >= 20 else 0.6,
+        sums[0] / n,
+        sums[1] / n,
+        sums[2] / n,
         abs(visible / n - 6),
     ]
-    groups = [sum(f[6 + g] * c for f, c in seen) for g in range(len(INSULTS))]
-    tone = [*groups, sum(groups), sum(sum(f[6:]) > 0 for f, _ in seen)]
-    shapes: Counter = Counter()
-    for f, c in seen:
-        shapes[f[2]] += c
-    places = np.array([*shapes, DIMENSIONS - 1], np.int64)
-    values = np.log1p(np.array([*shapes.values(), 0.0]))
+    insults = sums[3:]
+    tone = [*insults, insults.sum(), np.count_nonzero(signs[:, 3:].sum(axis=1))]
+    return np.array(form, float), np.array(tone, float)
+
+
+def features(words: Words, ids: np.ndarray) -> tuple[tuple, tuple]:
+    """Feature numbers and values for form and for tone.
+
+    Form has hashed shapes of words, in unit length, with the share of repeats;
+    tone the presence of words, each under two numbers, so that a word that
+    shares one number with an insult has half its weight.
+    """
+    shapes, counts = np.unique(words.hashed[ids, 2], return_counts=True)
+    values = np.log1p(counts)
     values /= np.linalg.norm(values)
-    values[-1] = 4 * repeats / n
-    present = np.unique(np.array([f[i] for f, _ in seen for i in (0, 1)], np.int64))
-    return (np.array(form), places, values), (np.array(tone), present, np.full(len(present), 0.5))
+    repeats = np.count_nonzero(ids[1:] == ids[:-1])
+    places = np.append(shapes, DIMENSIONS - 1)
+    present = np.unique(words.hashed[np.unique(ids), :2])
+    return (places, np.append(values, 4 * repeats / len(ids))), (present, np.full(len(present), 0.5))
 
 
 def votes(measures: np.ndarray, rules) -> list[int]:
@@ -212,12 +237,14 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
 
     def ballots(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: Counter = Counter()
+        words = table()
         for frame in frames:
             for text in frame["text"]:
-                seen = read(text)
-                if seen is not None:
-                    found[0, code(seen[0][0], FORM)] += 1
-                    found[1, code(seen[1][0], TONE)] += 1
+                ids = words.numbers(text)
+                if len(ids):
+                    form, tone = measures(words, text, ids)
+                    found[0, code(form, FORM)] += 1
+                    found[1, code(tone, TONE)] += 1
         yield pd.DataFrame(
             [(a, p, n) for (a, p), n in found.items()], columns=["aspect", "pattern", "n"]
         ).astype("int64")
@@ -238,10 +265,13 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
     def learn(frame: pd.DataFrame) -> pd.DataFrame:
         aspect = int(frame["aspect"].iloc[0])
         frame = frame.sort_values(["doc_id", "text"]).head(2 * sample)
-        seen = [s[aspect] for s in map(read, frame["text"]) if s is not None]
-        rules = (FORM, TONE)[aspect]
-        target = np.array([beliefs[aspect][code(measures, rules)] for measures, _, _ in seen])
-        made = train([s[1:] for s in seen], target) if seen else np.zeros(DIMENSIONS + 1)
+        rules, words, examples, target = (FORM, TONE)[aspect], table(), [], []
+        for text in frame["text"]:
+            ids = words.numbers(text)
+            if len(ids):
+                examples.append(features(words, ids)[aspect])
+                target.append(beliefs[aspect][code(measures(words, text, ids)[aspect], rules)])
+        made = train(examples, np.array(target)) if examples else np.zeros(DIMENSIONS + 1)
         return pd.DataFrame({"aspect": [aspect], "weights": [made.astype("<f8").tobytes()]})
 
     both = chosen.withColumn("aspect", F.explode(F.array(F.lit(0), F.lit(1))))
@@ -262,13 +292,14 @@ def score(docs: DataFrame, model: dict, id_column: str = "doc_id", text_column:
     shared = docs.sparkSession.sparkContext.broadcast(model["weights"])
 
     def rate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weights = shared.value
+        weights, words = shared.value, table()
         for frame in frames:
             out = np.tile([0.0, 1.0], (len(frame), 1))
             for i, text in enumerate(frame["text"]):
-                seen = read(text)
-                if seen is not None:
-                    odds = [w[f[1]] @ f[2] + w[-1] for w, f in zip(weights, seen)]
+                ids = words.numbers(text)
+                if len(ids):
+                    both = zip(weights, features(words, ids))
+                    odds = [w[places] @ values + w[-1] for w, (places, values) in both]
                     out[i] = 1 / (1 + np.exp(np.clip(odds, -50, 50)))
             yield pd.DataFrame({"doc_id": frame["doc_id"], "quality": out[:, 0], "clean_tone": out[:, 1]})
 

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents
 from .language import identify
+from .packing import pack
 from .quality import weak_label_quality
 from .simhash import near_duplicates
 from .token_counts import token_counts
@@ -39,6 +40,11 @@ def op3_weak_label_quality(spark: SparkSession, folder: str) -> DataFrame:
     return weak_label_quality(documents(spark, folder))
 
 
+@query
+def op4_retrieval_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(documents(spark, folder), byte_bpe())
+
+
 @query
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files(documents(spark, folder), byte_bpe())

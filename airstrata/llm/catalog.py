@@ -3,6 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from . import substring_dedup, suffix_dedup
 from .common import documents
 from .language import identify
 from .packing import pack
@@ -50,11 +51,21 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files(documents(spark, folder), byte_bpe())
 
 
+@query
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.digest(documents(spark, folder))
+
+
 @query
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(documents(spark, folder), byte_bpe())
 
 
+@query
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.digest(documents(spark, folder))
+
+
 @query
 def op10_nearest_centroid_language(spark: SparkSession, folder: str) -> DataFrame:
     return identify(documents(spark, folder)).select(

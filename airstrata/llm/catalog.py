@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import substring_dedup, suffix_dedup
 from .common import documents
+from .decontamination import contamination
 from .language import identify
 from .packing import pack
 from .quality import weak_label_quality
@@ -61,6 +62,11 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(documents(spark, folder), byte_bpe())
 
 
+@query
+def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 @query
 def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.digest(documents(spark, folder))

@@ -31,17 +31,16 @@ SAMPLED = 12  # steps that make a key
 READ = 48  # signs a walk can read
 CLASS = 1.25  # items whose lengths differ by less share a bound
 COARSE = 16
+TOGETHER = 500  # texts whose windows are embedded at once
 ITEMS = 16 << 20  # bytes of items that may be held by every task
 PAD = 256
-LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+LIKE = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 
 
 def signs(text: str | bytes | None) -> np.ndarray:
     """The bytes that are compared: lower case (A-Z), any white space as a blank."""
     raw = text.encode("utf-8", "replace") if isinstance(text, str) else text or b""
-    out = np.frombuffer(raw.translate(LOWER), np.uint8).copy()
-    out[(out >= 9) & (out <= 13)] = 32
-    return out
+    return np.frombuffer(raw.translate(LIKE), np.uint8)
 
 
 def gram_codes(units: np.ndarray) -> np.ndarray:
@@ -130,6 +129,7 @@ class Items:
         every = [(name, signs(text)) for name, text in rows]
         self.short = [(name, s.tobytes()) for name, s in every if 0 < len(s) < LEAST]
         self.items = [(name, s) for name, s in every if len(s) >= LEAST]
+        self.grams = [np.unique(gram_codes(s)) for _, s in self.items]
         self.seen = np.zeros(1 << 22, bool)
         classes: dict[int, tuple[int, int]] = {}
         found, owner, offset = [], [], []
@@ -170,28 +170,49 @@ class Items:
         runs = hit & ~np.concatenate([[False], hit[:-1]])
         return np.flatnonzero(runs & (np.cumsum(near[:-1]) > 0))
 
-    def candidates(self, units: np.ndarray) -> np.ndarray:
-        """Different rows (item, where in the text it would start) whose keys meet."""
-        starts, out = self.starts(units), []
-        for at in range(0, len(starts), 8192):
-            some = starts[at : at + 8192]
-            windows = windows_at(units, some)
+    def candidates(self, texts: list[np.ndarray]) -> list[list[tuple[int, int]]]:
+        """Per text the different (item, where in it that would start) whose keys meet.
+
+        The windows of all texts are embedded together.
+        """
+        starts = [self.starts(units) for units in texts]
+        owner = np.repeat(np.arange(len(texts)), [len(s) for s in starts])
+        some = np.concatenate([np.zeros(0, np.int64), *starts])
+        rows = [windows_at(u, s) for u, s in zip(texts, starts) if len(s)]
+        found = []
+        windows = np.concatenate(rows) if rows else np.zeros((0, READ), np.int16)
+        for at in range(0, len(windows), 1 << 15):
+            part = slice(at, at + (1 << 15))
             for walk in range(WALKS):
-                made = keys(windows, walk)
+                made = keys(windows[part], walk)
                 first = np.searchsorted(self.keys, made, "left").ravel()
                 sizes = np.searchsorted(self.keys, made, "right").ravel() - first
                 total = int(sizes.sum())
                 if total:
                     place = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(total)
-                    begin = np.repeat(np.repeat(some, TABLES), sizes) - self.offset[place]
-                    out.append(np.stack([self.owner[place], begin], axis=1))
-        return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-
-    def matches(self, text: bytes | None) -> list[tuple]:
-        """(item id, edits, start, end) of the text, in bytes; overlapping finds of an item once."""
-        units = signs(text)
+                    row = np.repeat(np.repeat(np.arange(len(made)), TABLES), sizes) + at
+                    begin = some[row] - self.offset[place]
+                    found.append(np.stack([owner[row], self.owner[place], begin], axis=1))
+        out: list[list[tuple[int, int]]] = [[] for _ in texts]
+        for text, item, begin in np.unique(np.concatenate(found), axis=0).tolist() if found else []:
+            out[text].append((item, begin))
+        return out
+
+    def enough(self, i: int, units: np.ndarray) -> bool:
+        """Whether a stretch holds as many grams of the item as any match must."""
+        n = len(self.items[i][1])
+        place = np.searchsorted(self.grams[i], codes := gram_codes(units))
+        held = self.grams[i][np.minimum(place, len(self.grams[i]) - 1)] == codes
+        return np.count_nonzero(held) >= n - GRAM + 1 - GRAM * edits(n, self.rate)
+
+    def matches(self, texts: list[bytes | None]) -> list[list[tuple]]:
+        """Per text (item id, edits, start, end), in bytes; overlapping finds of an item once."""
+        every = [signs(text) for text in texts]
+        return [self.verified(u, c) for u, c in zip(every, self.candidates(every))]
+
+    def verified(self, units: np.ndarray, candidates: list[tuple[int, int]]) -> list[tuple]:
         spans: dict[int, list[tuple[int, int]]] = {}
-        for i, begin in self.candidates(units).tolist():
+        for i, begin in candidates:
             n = len(self.items[i][1])
             slack = 2 * edits(n, self.rate) + 2
             low, high = max(0, begin - slack), min(len(units), begin + n + slack)
@@ -207,7 +228,7 @@ class Items:
             todo = list(held)
             while todo:
                 a, b = todo.pop()
-                if b - a < len(item) - most:
+                if b - a < len(item) - most or not self.enough(i, units[a:b]):
                     continue
                 cost, start, end = best_match(item, units[a:b])
                 if cost <= most:
@@ -253,11 +274,10 @@ def contamination(
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            out = [
-                (doc, *match)
-                for doc, text in zip(frame["doc_id"], frame["text"])
-                for match in items.value.matches(text)
-            ]
+            found = []
+            for at in range(0, len(frame), TOGETHER):
+                found += items.value.matches(frame["text"].iloc[at : at + TOGETHER].tolist())
+            out = [(doc, *match) for doc, own in zip(frame["doc_id"], found) for match in own]
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "edits", "start", "end"], dtype=object)
 
     return texts.mapInPandas(

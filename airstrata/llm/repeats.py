@@ -27,8 +27,7 @@ from ..operators.rows import quoted
 from .common import stored
 
 NO_ID = -(1 << 63)  # stands for a NULL id
-TABLE_BITS = 26  # the bit table has 2 ** TABLE_BITS bits: 8 MB, whatever the input
-BROADCAST = 16 << 20  # bytes; larger tables are joined by a shuffle
+TABLE_BITS = 25  # the bit table has 2 ** TABLE_BITS bits: 4 MB, whatever the input
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 RANDOM = np.random.Generator(np.random.Philox(20)).integers(0, 1 << 64, (2, 256), dtype=np.uint64)
 POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -109,9 +108,9 @@ def bit_table(cores: DataFrame) -> np.ndarray:
     words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(
         F.expr("bit_or(shiftleft(1L, cast(slot & 63 AS int)))").alias("bits")
     )
-    found = words.toPandas()
+    found = words.toArrow()
     table = np.zeros(1 << (TABLE_BITS - 6), np.int64)
-    table[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    table[found["word"].to_numpy()] = found["bits"].to_numpy()
     return table.view(np.uint64)
 
 
@@ -182,12 +181,6 @@ def decided(rows: DataFrame, earlier: bool) -> DataFrame:
     )
 
 
-def bounded(places: DataFrame) -> DataFrame:
-    """Marked for broadcast where it has at most BROADCAST bytes; else it is shuffled."""
-    size = places.agg(F.sum(F.expr("64 + aggregate(places, 0, (a, x) -> a + 32 + octet_length(x))"))).first()[0]
-    return F.broadcast(places) if (size or 0) <= BROADCAST else places
-
-
 def finer(rows: DataFrame, units: DataFrame, read: Callable, step: int, earlier: bool) -> DataFrame:
     """Split the open ranges into ranges of at most ``step`` starts and decide those.
 
@@ -195,7 +188,7 @@ def finer(rows: DataFrame, units: DataFrame, read: Callable, step: int, earlier:
     windows come into like ranges; a range of one start is told by its content only.
     """
     open_places = rows.where("open").groupBy("doc", "mark").agg(F.collect_list("places").alias("places"))
-    seen = units.join(bounded(open_places), ["doc", "mark"])
+    seen = units.join(open_places, ["doc", "mark"])
 
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -216,7 +209,7 @@ def finer(rows: DataFrame, units: DataFrame, read: Callable, step: int, earlier:
                 out.append(grouped(core, own.hulls(first, last, at), first, last, at, doc, mark))
             yield from together(out)
 
-    return decided(seen.mapInPandas(split, ROW), earlier)
+    return decided(stored(seen.mapInPandas(split, ROW), "parts"), earlier)
 
 
 def repeated_ranges(units: DataFrame, read: Callable, earlier: bool) -> DataFrame:

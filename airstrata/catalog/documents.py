@@ -47,6 +47,26 @@ def merge_index(spark, folder):
     return _show(documents.read_documents(spark, root))
 
 
+@query(
+    "merge_corrections",
+    """WITH r AS (SELECT *, 0 AS batch FROM events
+        UNION ALL SELECT * REPLACE (value - 1000 AS value), 1 FROM events WHERE event_id % 3 = 0)
+    SELECT strftime(ts, '%Y-%m-%d') || '_FR' || user_id || '_' || event_type AS doc_id,
+        strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS "Date de début",
+        'FR' || user_id AS "code site", event_type AS "Polluant", value AS "valeur", event_id FROM r
+    QUALIFY row_number() OVER (PARTITION BY doc_id
+        ORDER BY ts DESC, batch DESC, value DESC, event_id DESC) = 1""",
+)
+def merge_corrections(spark, folder):
+    """A second delivery lowers some readings; the first, sent again, does not undo that."""
+    root = workspace(spark, "store")
+    first = _readings(spark, folder)
+    second = first.where(F.col("event_id") % 3 == 0).withColumn(VALUE, F.col(VALUE) - 1000)
+    for name, delivery in (("first", first), ("second", second), ("first", first)):
+        documents.upsert(delivery, root, name)
+    return _show(documents.read_documents(spark, root))
+
+
 @query("compact_index", LATEST_DOCUMENTS)
 def compact_index(spark, folder):
     root, target = workspace(spark, "store"), workspace(spark, "compacted")

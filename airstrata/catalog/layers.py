@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F, types as T
 
 from ..functions.paths import partition_value
-from ..operators.rows import project, quoted
+from ..operators.rows import quoted
 from ..operators.stations import station_table
 from ..plans import layers, tables
 from ..schemas import (
@@ -12,7 +12,7 @@ from ..schemas import (
 from ..sinks.documents import read_documents
 from ..sinks.layers import write_delimited, write_layer
 from ..sources.listing import list_files
-from ..sources.tables import read_delimited, read_parquet
+from ..sources.tables import read_delimited, read_parquet, split_json_payload
 from ..sources.wide import read_notes
 from ..streaming.landing import landed_files, stream_upsert
 from ..workspace import workspace
@@ -41,37 +41,76 @@ def scan_delimited(spark, folder):
     return read_delimited(spark, path, measurement_schema())
 
 
-@query("csv_roundtrip", "SELECT event_id, user_id, event_type, value, props FROM events")
+@query(
+    "csv_roundtrip",
+    """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, user_id, event_type, value, props
+    FROM events""",
+)
 def csv_roundtrip(spark, folder):
-    events = table(spark, folder, "events").drop("ts")
+    events = table(spark, folder, "events")
     path = workspace(spark, "events")
     write_delimited(events, path)
-    return read_delimited(spark, path, events.schema, sep=",")
+    read = read_delimited(spark, path, events.schema, sep=",")
+    return read.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+
+
+@query(
+    "documents_csv_roundtrip",
+    r"""SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN '  ' || text || ' ' WHEN 1 THEN '' WHEN 2 THEN NULL
+        WHEN 3 THEN '"' || text || '", x' WHEN 4 THEN '\' || text || '\"'
+        ELSE text || chr(10) || 'next' END AS text FROM documents""",
+)
+def documents_csv_roundtrip(spark, folder):
+    """Free text: padded, empty, NULL, quoted, back-slashed and of several lines."""
+    text, rest = F.col("text"), F.pmod("doc_id", F.lit(6))
+    changed = (
+        F.when(rest == 0, F.concat(F.lit("  "), text, F.lit(" ")))
+        .when(rest == 1, "")
+        .when(rest == 3, F.concat(F.lit('"'), text, F.lit('", x')))
+        .when(rest == 4, F.concat(F.lit("\\"), text, F.lit('\\"')))
+        .when(rest == 5, F.concat(text, F.lit("\nnext")))
+    )
+    documents = table(spark, folder, "documents").select("doc_id", changed.alias("text"))
+    path = workspace(spark, "texts")
+    write_delimited(documents, path)
+    return read_delimited(spark, path, documents.schema, sep=",", multiline=True)
 
 
 @query(
     "json_to_table",
-    """SELECT event_id, 'reading' AS kind, value::VARCHAR AS content FROM events
-    UNION ALL SELECT event_id, 'site', user_id::VARCHAR FROM events""",
+    """SELECT event_id, 'reading' AS kind, value::VARCHAR AS content FROM events WHERE event_id % 50 <> 0
+    UNION ALL SELECT event_id, 'site', user_id::VARCHAR FROM events WHERE event_id % 50 <> 0
+    UNION ALL SELECT NULL, 'reject', '[{"event_i' FROM events WHERE event_id % 50 = 0""",
 )
 def json_to_table(spark, folder):
-    """Each landed reply is an array of two records."""
+    """Each landed reply is an array of two records; some are broken off, and are rejects."""
     event = F.col("event_id")
 
     def record(kind, content):
         return F.struct(event, F.lit(kind).alias("kind"), content.cast("string").alias("content"))
 
-    reply = F.array(record("reading", F.col("value")), record("site", F.col("user_id")))
+    reply = F.to_json(
+        F.array(record("reading", F.col("value")), record("site", F.col("user_id")))
+    )
+    broken = F.when(event % 50 == 0, F.left(reply, F.lit(10))).otherwise(reply)
     path, target = workspace(spark, "replies"), workspace(spark, "table")
-    table(spark, folder, "events").select(F.to_json(reply)).write.text(path)
+    table(spark, folder, "events").select(broken).write.text(path)
     schema = T.DataType.fromDDL("event_id bigint, kind string, content string")
-    return tables.store_payload(spark, path, target, schema)
+    rows, rejects = split_json_payload(spark, path, schema)
+    write_delimited(rows, target)
+    return read_delimited(spark, target, schema, sep=",", multiline=True).unionByName(
+        rejects.select(
+            F.lit(None).cast("bigint").alias("event_id"),
+            F.lit("reject").alias("kind"),
+            F.col("reply").alias("content"),
+        )
+    )
 
 
 @query(
     "scan_with_schema",
     """SELECT o_orderkey, o_totalprice, o_orderpriority, NULL::VARCHAR AS o_note
-    FROM orders WHERE o_totalprice > 1000""",
+    FROM orders WHERE o_totalprice > 100000""",
 )
 def scan_with_schema(spark, folder):
     """The caller's schema rules: a column that the file lacks reads as NULL."""
@@ -79,7 +118,7 @@ def scan_with_schema(spark, folder):
         "o_orderkey bigint, o_totalprice double, o_orderpriority string, o_note string"
     )
     orders = read_parquet(spark, f"{folder}/orders.parquet", schema=schema)
-    return orders.where(F.col("o_totalprice") > 1000)
+    return orders.where(F.col("o_totalprice") > 100000)
 
 
 @query(
@@ -216,9 +255,13 @@ def raw_to_documents(spark, folder):
     _documents_sql("date_trunc('second', \"Date de début\")", "AND event_id % 19 <> 0"),
 )
 def stream_landed_documents(spark, folder):
-    """Landed text as a stream: each micro-batch is cleaned, joined and upserted."""
+    """Landed text as a stream: each micro-batch is cleaned, joined and upserted.
+
+    The files have a column more than is asked for, and another order of columns.
+    """
     work = workspace(spark, "landing")
-    write_delimited(project(landed(spark, folder)), f"{work}/raw", sep=";")
+    raw = landed(spark, folder)
+    write_delimited(raw.select(*[quoted(c) for c in reversed(raw.columns)]), f"{work}/raw", sep=";")
     known = station_table(stations(spark, folder))
 
     def prepare(batch):

@@ -30,25 +30,36 @@ def number_text(number: Column) -> Column:
     )
 
 
+def _listed(texts: Column) -> Column:
+    """The texts in brackets; NULL if one of them is NULL, so that no part is left out."""
+    whole = ~F.exists(texts, lambda t: t.isNull())
+    return F.when(whole, F.concat(F.lit("("), F.array_join(texts, ", "), F.lit(")")))
+
+
 def _ring_text(ring: Column) -> Column:
-    points = F.transform(ring, lambda p: F.concat(number_text(p.x), F.lit(" "), number_text(p.y)))
-    return F.concat(F.lit("("), F.array_join(points, ", "), F.lit(")"))
+    return _listed(
+        F.transform(ring, lambda p: F.concat(number_text(p.x), F.lit(" "), number_text(p.y)))
+    )
 
 
 def _polygon_body(rings: Column) -> Column:
-    return F.concat(F.lit("("), F.array_join(F.transform(rings, _ring_text), ", "), F.lit(")"))
+    return _listed(F.transform(rings, _ring_text))
 
 
 def polygon_wkt(rings: Column) -> Column:
-    """``array<array<struct<x,y>>>`` (outer ring, then holes) to WKT."""
+    """``array<array<struct<x,y>>>`` (outer ring, then holes) to WKT.
+
+    NULL if any coordinate is NULL, or too large for 38 decimal digits.
+    """
     return F.when(F.size(rings) == 0, F.lit("POLYGON EMPTY")).when(
         rings.isNotNull(), F.concat(F.lit("POLYGON "), _polygon_body(rings))
     )
 
 
 def multipolygon_wkt(polygons: Column) -> Column:
-    """Array of polygons (each an array of rings) to WKT."""
-    body = F.array_join(F.transform(polygons, _polygon_body), ", ")
+    """Array of polygons (each an array of rings) to WKT; NULL as for ``polygon_wkt``."""
+    texts = F.transform(polygons, _polygon_body)
+    body = F.when(~F.exists(texts, lambda t: t.isNull()), F.array_join(texts, ", "))
     return F.when(F.size(polygons) == 0, F.lit("MULTIPOLYGON EMPTY")).when(
         polygons.isNotNull(), F.concat(F.lit("MULTIPOLYGON ("), body, F.lit(")"))
     )

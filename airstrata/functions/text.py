@@ -16,12 +16,11 @@ def json_number_map(column: Column) -> Column:
         lambda e: F.struct(e.key.try_cast("double").alias("key"), e.value.alias("value")),
     )
     numeric = F.filter(pairs, lambda e: e.key.isNotNull())
-
-    def put(done, e):
-        others = F.map_filter(done, lambda k, v: k != e.key)
-        return F.map_concat(others, F.create_map(e.key, e.value))
-
-    return F.reduce(numeric, F.create_map().cast("map<double,double>"), put)
+    keys = F.transform(numeric, lambda e: e.key)
+    # From the end, so that the first place of a key is that of its last value.
+    backwards = F.reverse(numeric)
+    places = F.transform(F.array_distinct(keys), lambda k: F.array_position(F.reverse(keys), k))
+    return F.map_from_entries(F.transform(places, lambda at: F.element_at(backwards, at.cast("int"))))
 
 
 def utf8_text(column: Column) -> Column:

@@ -93,9 +93,15 @@ def to_documents(combined: DataFrame, grain: str = "day") -> DataFrame:
     """L2 to documents; a row with any gap is dropped.
 
     With ``grain="day"`` the readings of a day, site and pollutant share a key;
-    ``"hour"`` keeps the hourly series.
+    ``"hour"`` keeps the hourly series. Of readings that share a key and, to the
+    second, their times, the latest is taken while the times are still whole.
     """
-    return complete(_keyed(combined, grain))
+    whole = complete(combined)
+    seconds = [F.date_trunc("second", quoted(c)).alias(f"_{c}") for c in (START, END)]
+    named = whole.select("*", *seconds)
+    by = [DATE, SITE, POLLUTANT_COPY, *[f"_{c}" for c in (START, END)]]
+    newest = latest_per_key(named, by, list(documents.NEWEST)).drop(*[f"_{c}" for c in (START, END)])
+    return complete(_keyed(newest, grain))
 
 
 def latest_documents(
@@ -123,13 +129,19 @@ def latest_documents(
 def raw_to_documents(
     spark: SparkSession, raw_path: str, station_path: str, work: str, run_date=None, batch="run"
 ) -> DataFrame:
-    """All layers as files below ``work``, ending in the current documents."""
+    """All layers as files below ``work``, ending in the current documents.
+
+    Only the dates of this run are read from L2 and published; the cost follows
+    the run, not the history. The dates, a few per run, come to the driver.
+    """
     stations = station_table(read_stations(spark, station_path))
     fresh = clean(read_measurements(spark, raw_path))
     store_cleaned(fresh, f"{work}/L1")
     cleaned = read_parquet(spark, f"{work}/L1", schema=fresh.schema)
     combined = combine(cleaned, stations, run_date)
     store_combined(combined, f"{work}/L2")
-    docs = to_documents(read_parquet(spark, f"{work}/L2", schema=combined.schema))
+    dates = [r[0] for r in stamp_date(cleaned, run_date).select(DATE).distinct().collect()]
+    layer = read_parquet(spark, f"{work}/L2", schema=combined.schema)
+    docs = to_documents(layer.where(quoted(DATE).isin(dates)))
     documents.upsert(docs, f"{work}/documents", batch)
     return documents.read_documents(spark, f"{work}/documents", schema=docs.schema)

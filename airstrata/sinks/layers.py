@@ -36,8 +36,17 @@ def write_layer(
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", folders=()) -> None:
-    """Replace delimited text, with a header line in each file."""
-    writer = df.write.mode("overwrite").option("header", True).option("sep", sep)
+    """Replace delimited text, with a header line in each file.
+
+    Texts are kept as they are: blanks at their ends, quotes (doubled) and line ends;
+    an empty text is written in quotes, NULL as nothing. Times keep their microseconds.
+    """
+    writer = df.write.mode("overwrite").options(
+        header=True, sep=sep, quote='"', escape='"', nullValue="", emptyValue='""',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        timestampFormat="yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
+        timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+    )
     if folders:
         writer = writer.partitionBy(*folders)
     writer.csv(path)

@@ -5,8 +5,38 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..schemas import STATION_SCHEMA, measurement_schema
 
 
+# Texts come back as they were written: blanks at the ends, quotes and back-slashes,
+# and an empty text (quoted) apart from NULL (nothing between two separators).
+TEXT_FORMAT = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "nullValue": "\u0000",
+    "emptyValue": "",
+}
+
+
+def header_schema(reader, path, wanted: T.StructType) -> T.StructType:
+    """The columns in the order of the header, typed as wanted, others as text.
+
+    Without any file yet, the wanted schema itself.
+    """
+    header = reader.csv(path).columns
+    missing = [name for name in wanted.names if name not in header]
+    if missing and header:
+        raise ValueError(f"columns missing in {path}: {missing}")
+    return T.StructType(
+        [wanted[n] if n in wanted.names else T.StructField(n, T.StringType()) for n in header]
+    ) if header else wanted
+
+
 def read_delimited(
-    spark: SparkSession, path, schema: T.StructType | None = None, sep: str = ";"
+    spark: SparkSession,
+    path,
+    schema: T.StructType | None = None,
+    sep: str = ";",
+    multiline: bool = False,
 ) -> DataFrame:
     """Delimited text with a header line.
 
@@ -14,17 +44,12 @@ def read_delimited(
     only the header line is looked at first, so further or reordered columns do
     no harm. All files must share the header, else the read fails. Without a
     schema the types are inferred, which costs a pass over the whole input.
+    ``multiline`` is for free text that may hold line ends; such files are not split.
     """
-    reader = spark.read.option("sep", sep).option("header", True)
+    reader = spark.read.options(**TEXT_FORMAT, sep=sep, header=True, multiLine=multiline)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    header = reader.csv(path).columns
-    missing = [name for name in schema.names if name not in header]
-    if missing:
-        raise ValueError(f"columns missing in {path}: {missing}")
-    stored = T.StructType(
-        [schema[n] if n in schema.names else T.StructField(n, T.StringType()) for n in header]
-    )
+    stored = header_schema(reader, path, schema)
     rows = reader.schema(stored).option("enforceSchema", False).csv(path)
     return rows.select(*[F.col(f"`{name}`") for name in schema.names])
 
@@ -56,9 +81,25 @@ def read_parquet(spark: SparkSession, *paths: str, root=None, schema=None) -> Da
 def read_json_payload(
     spark: SparkSession, path, schema: T.StructType, whole_file: bool = False
 ) -> DataFrame:
-    """JSON replies as rows; an array yields one row per element.
+    """JSON replies as rows; an array yields one row per element. A broken reply is an error.
 
     One reply per line is splittable. ``whole_file`` reads replies that span
-    lines, one task per file.
+    lines, one task per file. ``split_json_payload`` gives broken replies apart.
+    """
+    reader = spark.read.schema(schema).option("multiLine", whole_file)
+    return reader.option("mode", "FAILFAST").json(path)
+
+
+def split_json_payload(
+    spark: SparkSession, path, schema: T.StructType, whole_file: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects): rows of the readable replies, and the text of the others as ``reply``.
+
+    A reply is an object or an array of objects; blank lines are neither.
     """
-    return spark.read.schema(schema).option("multiLine", whole_file).json(path)
+    replies = spark.read.option("wholetext", whole_file).text(path)
+    parsed = replies.where(F.trim("value") != "").select(
+        F.from_json("value", T.ArrayType(schema)).alias("rows"), F.col("value").alias("reply")
+    )
+    rows = parsed.select(F.explode("rows").alias("row")).select("row.*")
+    return rows, parsed.where(F.col("rows").isNull()).select("reply")

@@ -5,8 +5,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.rows import quoted
 from ..schemas import measurement_schema
 from ..sinks.documents import NEWEST, upsert
+from ..sources.tables import TEXT_FORMAT, header_schema
 
 
 def landed_files(
@@ -16,13 +18,21 @@ def landed_files(
     format: str = "csv",
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Stream of files as they land; each file is read once per checkpoint."""
-    reader = spark.readStream.format(format).schema(schema or measurement_schema())
-    if format == "csv":
-        reader = reader.option("sep", ";").option("header", True)
+    """Stream of files as they land; each file is read once per checkpoint.
+
+    Columns of delimited files are picked by name: the header of the files that are
+    there when the stream starts says where they stand (without any, they stand
+    as in the schema), and a file with another header fails the stream.
+    """
+    wanted = schema or measurement_schema()
+    reader = spark.readStream.format(format)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    if format != "csv":
+        return reader.schema(wanted).load(path)
+    stored = header_schema(spark.read.options(**TEXT_FORMAT, sep=";", header=True), path, wanted)
+    rows = reader.options(**TEXT_FORMAT, sep=";", header=True, enforceSchema=False)
+    return rows.schema(stored).load(path).select(*[quoted(name) for name in wanted.names])
 
 
 def stream_upsert(

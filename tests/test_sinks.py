@@ -80,6 +80,67 @@ def test_upsert_is_by_time_not_by_arrival(spark, tmp_path):
     assert current(spark, root, days=["2025-03-02"]) == {"b": 1.0, "c": 5.0}
 
 
+def test_corrections_replace_whatever_their_value(spark, tmp_path):
+    root, target = str(tmp_path / "store"), str(tmp_path / "compact")
+    first = docs(spark, ("a", "2025-03-01", 9, 5.0), ("b", "2025-03-01", 9, 1.0))
+    documents.upsert(first, root, "first")
+    documents.upsert(docs(spark, ("a", "2025-03-01", 9, 3.0)), root, "second")
+    documents.upsert(first, root, "first")
+    assert current(spark, root) == {"a": 3.0, "b": 1.0}
+    documents.compact(spark, root, target)
+    assert current(spark, target) == {"a": 3.0, "b": 1.0}
+    documents.upsert(docs(spark, ("a", "2025-03-01", 9, 2.0)), target, "third")
+    assert current(spark, target) == {"a": 2.0, "b": 1.0}
+
+
+def test_columns_of_a_later_batch_are_kept(spark, tmp_path):
+    root = str(tmp_path / "store")
+    documents.upsert(docs(spark, ("a", "2025-03-01", 1, 1.0)), root, "1")
+    documents.upsert(docs(spark, ("b", "2025-03-01", 1, 1.0)).withColumn("note", F.lit("n")), root, "2")
+    assert {r.doc_id: r.note for r in documents.read_documents(spark, root).collect()} == {"a": None, "b": "n"}
+
+
+def test_second_run_leaves_other_days_alone(spark, tmp_path):
+    work = tmp_path / "work"
+    write_delimited(stations(spark), str(tmp_path / "stations"))
+    for n, day in enumerate(("2025-03-01", "2025-03-02")):
+        slashed = day.replace("-", "/")
+        at = {k: v.replace("2025-03-01", day).replace("2025/03/01", slashed) for k, v in times(10).items()}
+        write_delimited(raw(spark, reading(**at)), str(tmp_path / f"raw{n}"), sep=";")
+        layers.raw_to_documents(
+            spark, str(tmp_path / f"raw{n}"), str(tmp_path / "stations"), str(work), batch=f"run{n}"
+        )
+    folders = sorted(str(p.relative_to(work / "documents")) for p in (work / "documents").glob("*/*"))
+    assert [f for f in folders if "=" in f] == [
+        "doc_day=2025-03-01/batch=run0", "doc_day=2025-03-02/batch=run1",
+    ]
+
+
+def test_text_survives_delimited_files(spark, tmp_path):
+    from airstrata.sources.tables import read_delimited
+
+    texts = [" padded ", "", None, 'a "quote", x', "back\\slash\\", "two\nlines", '\\"', ";,"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
+    write_delimited(df, str(tmp_path / "csv"))
+    got = read_delimited(spark, str(tmp_path / "csv"), df.schema, sep=",", multiline=True)
+    assert [r.text for r in got.orderBy("n").collect()] == texts
+
+
+def test_publish_sends_once(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def send(pairs):
+        for key, _ in pairs:
+            with open(f"{folder}/{key}", "a") as file:
+                file.write("x")
+        return [None if key != "k3" else "no" for key, _ in pairs]
+
+    refused = documents.publish(docs(spark, *[(f"k{i}", "2025-03-01", 1, 1.0) for i in range(40)]), send)
+    refused.take(1)
+    assert refused.count() == 1
+    assert [os.path.getsize(f"{folder}/k{i}") for i in range(40)] == [1] * 40
+
+
 def test_replayed_batch_changes_nothing(spark, tmp_path):
     root = str(tmp_path / "store")
     batch = docs(spark, ("a", "2025-03-01", 9, 9.0), ("a", "2025-03-01", 8, 8.0))

@@ -1,3 +1,7 @@
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
 from airstrata.plans.layers import clean, combine, to_documents
 from airstrata.operators.stations import station_table
 from airstrata.sinks import documents
@@ -46,6 +50,32 @@ def test_files_as_they_land(spark, tmp_path):
     assert current(spark, root) == {"2025-03-01_FR31007_NO2": 2.0, "2025-03-01_FR31007_O3": 11.2}
 
 
+def test_columns_are_picked_by_name(spark, tmp_path):
+    df = raw(spark, reading(**times(10), valeur=4.0))
+    wide = df.select(F.lit("new").alias("further"), *[F.col(f"`{c}`") for c in reversed(df.columns)])
+    write_delimited(wide, str(tmp_path / "landing"), sep=";")
+    files = landed_files(spark, str(tmp_path / "landing"))
+    prepare = prepare_with(station_table(stations(spark)))
+    stream_upsert(files, str(tmp_path / "store"), str(tmp_path / "ck"), prepare).awaitTermination()
+    assert current(spark, str(tmp_path / "store")) == {"2025-03-01_FR31007_NO2": 4.0}
+    other = df.select(*[F.col(f"`{c}`") for c in df.columns])
+    write_delimited(other, str(tmp_path / "other"), sep=";")
+    for part in (tmp_path / "other").glob("part-*.csv"):
+        (tmp_path / "landing" / f"x{part.name}").write_bytes(part.read_bytes())
+    query = stream_upsert(files, str(tmp_path / "store"), str(tmp_path / "ck"), prepare)
+    with pytest.raises(StreamingQueryException):
+        query.awaitTermination()
+
+
+def test_corrections_come_through_the_stream(spark, tmp_path):
+    prepare = prepare_with(station_table(stations(spark)))
+    for name, value in (("a", 5.0), ("b", 3.0)):
+        land(spark, tmp_path, name, reading(**times(10), valeur=value))
+        files = landed_files(spark, str(tmp_path / "landing"))
+        stream_upsert(files, str(tmp_path / "store"), str(tmp_path / "ck"), prepare).awaitTermination()
+    assert current(spark, str(tmp_path / "store")) == {"2025-03-01_FR31007_NO2": 3.0}
+
+
 def test_one_batch_many_batches_and_batch_job_agree(spark, tmp_path):
     table = station_table(stations(spark))
     rows = [reading(**times(h), valeur=float(h), Polluant=p) for h in range(3) for p in ("NO2", "O3")]

@@ -1,0 +1,102 @@
+"""Plain re-statements of what the operators must give, for small tables."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import xxhash
+
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+
+
+def simhash(text, shingle=3):
+    words = WORD.findall((text or "").encode().translate(LOWER))
+    if not words:
+        return 0
+    parts = [b" ".join(words[i : i + shingle]) for i in range(len(words) - shingle + 1)]
+    hashes = [xxhash.xxh64_intdigest(p, 42) for p in parts or [b" ".join(words)]]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(docs, radius=3):
+    """doc_id -> (fingerprint, smallest id reachable); ``docs`` are (id, text)."""
+    marks = [(k, simhash(t)) for k, t in docs]
+    up = list(range(len(marks)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, (_, a) in enumerate(marks):
+        for j in range(i):
+            if bin(a ^ marks[j][1]).count("1") <= radius:
+                up[root(i)] = root(j)
+    least = defaultdict(lambda: float("inf"))
+    for i, (k, _) in enumerate(marks):
+        least[root(i)] = min(least[root(i)], k)
+    return sorted((k, f"{f:016x}", least[root(i)]) for i, (k, f) in enumerate(marks))
+
+
+def repeated_bytes(docs, length=400):
+    """(id, bytes, removed, runs, SHA-256 of the rest) per row."""
+    raws = [(k, (t or "").encode()) for k, t in docs]
+    seen = Counter(r[i : i + length] for _, r in raws for i in range(len(r) - length + 1))
+    out = []
+    for k, r in raws:
+        gone = bytearray(len(r) + 1)
+        for i in range(len(r) - length + 1):
+            if seen[r[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        runs = sum(1 for i in range(len(r)) if gone[i] and (i == 0 or not gone[i - 1]))
+        kept = bytes(b for b, g in zip(r, gone) if not g)
+        out.append((k, len(r), len(r) - len(kept), runs, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def repeated_words(docs, window=50):
+    """(id, words, removed, SHA-256 of the rest) per row."""
+    split = [(k, WORD.findall((t or "").encode())) for k, t in docs]
+    first = {}
+    for k, w in split:
+        for i in range(len(w) - window + 1):
+            key = tuple(w[i : i + window])
+            first[key] = min(first.get(key, k), k)
+    out = []
+    for k, w in split:
+        gone = [False] * len(w)
+        for i in range(len(w) - window + 1):
+            if first[tuple(w[i : i + window])] < k:
+                gone[i : i + window] = [True] * window
+        kept = [x for x, g in zip(w, gone) if not g]
+        digest = hashlib.sha256(b" ".join(kept)).hexdigest()
+        out.append((k, len(w), len(w) - len(kept), digest))
+    return sorted(out, key=repr)
+
+
+def minima(values, window):
+    """Positions of the rightmost smallest value of every window."""
+    window, out = min(window, len(values)), []
+    for i in range(len(values) - window + 1 if values else 0):
+        least = min(values[i : i + window])
+        at = max(j for j in range(i, i + window) if values[j] == least)
+        if at not in out:
+            out.append(at)
+    return out
+
+
+def crc(ids):
+    return zlib.crc32(b"".join(int(i).to_bytes(4, "little") for i in ids))
+
+
+def edit_distance_within(item, text):
+    """The least edits between the item and any stretch of the text."""
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(item, 1):
+        new = [i]
+        for j, b in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (a != b)))
+        row = new
+    return min(row)

@@ -36,12 +36,12 @@ class TextEncoder:
 
     With a byte-level model that splits by its usual pattern, a text falls into
     pieces, each a blank with the following non-blank run, whose ids do not depend
-    on their surroundings. Ids of met pieces are kept (at most ``limit``, then the
-    store starts anew), and the library encodes the others. Any other tokenizer,
+    on their surroundings. Ids of met pieces are kept (``limit`` at most; then they become
+    the old ones, from which those met again return), and the library encodes the others. Any other tokenizer,
     and any text that holds one of its added tokens, is encoded whole.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 450_000):
         self.tokenizer = load(path)
         self.limit = limit
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -60,6 +60,7 @@ class TextEncoder:
         self.letters = byte_letters()
         self.model = self.tokenizer.model
         self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.rests: dict[str, bytes] = {"": b""}
 
     def whole(self, text: str) -> bytes:
@@ -92,9 +93,9 @@ class TextEncoder:
         if not self.by_piece or any(token in text for token in self.added):
             return self.whole(text)
         first, *words = text.split(" ")
-        known = self.words
-        if len(known) >= self.limit:
-            known.clear()
+        if len(self.words) >= self.limit:
+            self.old, self.words = self.words, {}
+        known, old = self.words, self.old
         try:
             return self.piece(first) + b"".join([known[w] for w in words])
         except KeyError:
@@ -103,7 +104,7 @@ class TextEncoder:
             if w not in known:
                 if not w or w[0].isspace():  # such a blank starts no piece
                     return b"".join([self.piece(p) for p in PIECE_START.split(text)])
-                known[w] = self.piece(" " + w)
+                known[w] = old.get(w) or self.piece(" " + w)
         return self.piece(first) + b"".join([known[w] for w in words])
 
 

@@ -10,7 +10,7 @@ from samples import FIELDS, FOLDER, odd_texts  # noqa: E402
 
 @pytest.fixture(scope="session")
 def odd(spark):
-    """A table of odd texts, with a NULL id, repeated rows and columns of clashing names."""
+    """A table of odd texts, with repeated rows and columns of clashing names."""
     rows = [(i * 3, t, "en" if i % 2 else None, "s", 0) for i, t in enumerate(odd_texts())]
     rows += [rows[7], rows[9]]
     df = spark.createDataFrame(rows, FIELDS)

@@ -4,8 +4,11 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from ..functions.pixels import gray_planes, normalize_planes, resize
-from ..operators.learn import class_index, evaluate, predict, train_head
+from ..operators.learn import (
+    class_index, class_means, evaluate, loss_gradient, predict, predict_linear, train_head,
+)
 from ..plans.classifier import train_and_validate
+from ..sources.images import read_labelled_images
 from ..workspace import workspace
 from .registry import query
 from .tables import table
@@ -99,18 +102,97 @@ def _sets(spark, folder):
     return vectors.where(~held_out), vectors.where(held_out)
 
 
-@query("linear_head_train")
+@query(
+    "linear_head_train",
+    """SELECT label::INTEGER AS class_index, count(*) AS rows, 0.0::DOUBLE AS gradient
+    FROM embeddings WHERE vec_id % 5 <> 0 GROUP BY 1""",
+)
 def linear_head_train(spark, folder):
-    """The weights of the head, one row per class."""
+    """The stored head is at the optimum: per class, the loss's gradient over all training rows."""
     training, _ = _sets(spark, folder)
     path = workspace(spark, "head")
     train_head(training, "embedding", "label").write().overwrite().save(path)
-    head = PipelineModel.load(path).stages[0]
-    weights = [
-        (i, float(b), row.tolist())
-        for i, (b, row) in enumerate(zip(head.interceptVector, head.coefficientMatrix.toArray()))
-    ]
-    return spark.createDataFrame(weights, "label int, intercept double, weights array<double>")
+    scored = predict(PipelineModel.load(path), training, "embedding")
+    return loss_gradient(scored, "embedding", "label").withColumn("gradient", F.round("gradient", 5))
+
+
+CLASS_MEANS = """WITH x AS (SELECT vec_id, label::INTEGER AS label, unnest(embedding)::DOUBLE AS x,
+        generate_subscripts(embedding, 1) AS i FROM embeddings),
+    means AS (SELECT label AS k, i, avg(x) AS m FROM x WHERE vec_id % 5 <> 0 GROUP BY ALL),
+    scores AS (SELECT vec_id, label, k, sum(x * m - m * m / 2) AS s FROM x JOIN means USING (i) GROUP BY ALL),
+    chances AS (SELECT *, ln(sum(exp(s)) OVER v) - s AS loss, row_number() OVER (v ORDER BY s DESC, k) AS place
+        FROM scores WINDOW v AS (PARTITION BY vec_id)),
+    rated AS (SELECT vec_id, CASE WHEN vec_id % 5 = 0 THEN 'validation' ELSE 'train' END AS part, label,
+        min(k) FILTER (place = 1) AS prediction, min(loss) FILTER (k = label) AS loss
+        FROM chances GROUP BY ALL)"""
+
+
+def _nearest(spark, folder):
+    """All rows with the class whose mean over the training rows is nearest."""
+    training, validation = _sets(spark, folder)
+    rows = training.withColumn("part", F.lit("train")).unionByName(
+        validation.withColumn("part", F.lit("validation"))
+    )
+    return predict_linear(class_means(training, "embedding", "label"), rows, "embedding")
+
+
+@query("class_means_predict", f"{CLASS_MEANS} SELECT vec_id, part, label, prediction FROM rated")
+def class_means_predict(spark, folder):
+    return _nearest(spark, folder).select(
+        "vec_id", "part", F.col("label").cast("int").alias("label"),
+        F.col("prediction").cast("int").alias("prediction"),
+    )
+
+
+@query(
+    "class_means_eval",
+    f"""{CLASS_MEANS} SELECT part, count(*) AS rows,
+        round(100 * avg((prediction = label)::INTEGER), 6) AS accuracy, round(sum(loss), 4) AS loss
+    FROM rated GROUP BY 1""",
+)
+def class_means_eval(spark, folder):
+    rated = evaluate(_nearest(spark, folder), "label", ["part"])
+    return rated.withColumns({"accuracy": F.round("accuracy", 6), "loss": F.round("loss", 4)})
+
+
+# The head of a bitmap file of 4 x 4 pixels in three channels, lines from the bottom up.
+BITMAP = "424d66000000000000003600000028000000040000000400000001001800000000003000000000000000" + "00" * 12
+BYTES = "list_transform(embedding[1:48], lambda x: greatest(0, least(127, floor((x::DOUBLE + 1) * 63.5)))::INTEGER)"
+
+
+def _plane(channel):
+    return f"list_transform(range(16), lambda i: p[{channel} + 3 * i] * 1000000)"
+
+
+@query(
+    "labelled_pictures",
+    f"""WITH b AS (SELECT label, {BYTES} AS p FROM embeddings)
+    SELECT 'class_name=' || label AS class_name, 4::INTEGER AS height, 4::INTEGER AS width,
+        3::INTEGER AS channels, array_to_string(list_concat({_plane(3)}, {_plane(2)}, {_plane(1)}), ',')
+        AS planes FROM b""",
+)
+def labelled_pictures(spark, folder):
+    """A picture file per embedding in its class folder, read back as red, green and blue planes.
+
+    No byte is above 127, so Spark's text writer can write the files. The root bears the name of a class.
+    """
+    root = f"{workspace(spark, 'pictures')}/class_name=3"
+    scaled = lambda x: F.floor((x.cast("double") + 1) * 63.5)
+    pixels = F.transform(
+        F.slice("embedding", 1, 48), lambda x: F.greatest(F.lit(0), F.least(F.lit(127), scaled(x)))
+    )
+    digits = F.transform(pixels, lambda x: F.lpad(F.hex(x), 2, "0"))
+    lines = [F.array_join(F.slice(digits, first, 12), "") for first in (37, 25, 13, 1)]
+    table(spark, folder, "embeddings").select(
+        F.col("label").alias("class_name"),
+        F.unhex(F.concat(F.lit(BITMAP), *lines)).cast("string").alias("file"),
+    ).write.partitionBy("class_name").option("maxRecordsPerFile", 1).text(root)
+    pictures = read_labelled_images(spark, root, "*.txt").where(F.col("reason").isNull())
+    planes = resize(F.col("image"), 4, 4, whole_pixels=False)
+    return pictures.select(
+        "class_name", "image.height", "image.width", F.col("image.nChannels").alias("channels"),
+        _millionths(planes).alias("planes"),
+    )
 
 
 def _scored(spark, folder):

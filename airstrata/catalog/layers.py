@@ -11,7 +11,7 @@ from ..schemas import (
 )
 from ..sinks.documents import read_documents
 from ..sinks.layers import write_delimited, write_layer
-from ..sources.listing import list_files
+from ..sources.listing import has_files, list_files
 from ..sources.tables import read_delimited, read_parquet, split_json_payload
 from ..sources.wide import read_notes
 from ..streaming.landing import landed_files, stream_upsert
@@ -123,16 +123,24 @@ def scan_with_schema(spark, folder):
 
 @query(
     "file_manifest",
-    """SELECT DISTINCT event_type AS "Polluant", 'application/csv' AS media_type,
-        true AS has_bytes FROM events""",
+    """SELECT DISTINCT event_type AS "Polluant", media_type, true AS has_bytes, true AS has_csv,
+        false AS has_zip, false AS elsewhere
+    FROM events, (VALUES ('application/csv'), ('application/json'), ('text/plain')) f(media_type)""",
 )
 def file_manifest(spark, folder):
-    path = workspace(spark, "manifest")
-    write_delimited(table(spark, folder, "events").drop("ts"), path, folders=("event_type",))
-    files = list_files(spark, path, ".csv")
-    return files.groupBy(
-        partition_value(F.col("path"), "event_type").alias(POLLUTANT), "media_type"
-    ).agg((F.sum("length") > 0).alias("has_bytes"))
+    """Delimited, JSON and Parquet files, and whether there are files of a kind or at all."""
+    path, events = workspace(spark, "manifest"), table(spark, folder, "events")
+    write_delimited(events, f"{path}/delimited", folders=("event_type",))
+    events.write.partitionBy("event_type").json(f"{path}/json")
+    events.write.partitionBy("event_type").parquet(f"{path}/parquet")
+    return (
+        list_files(spark, path)
+        .groupBy(partition_value(F.col("path"), "event_type").alias(POLLUTANT), "media_type")
+        .agg((F.sum("length") > 0).alias("has_bytes"))
+        .withColumn("has_csv", F.lit(has_files(spark, path, ".csv")))
+        .withColumn("has_zip", F.lit(has_files(spark, path, ".zip")))
+        .withColumn("elsewhere", F.lit(has_files(spark, f"{path}/none")))
+    )
 
 
 def _write_cleaned(spark, folder):

@@ -13,7 +13,8 @@ from ..operators.rows import quoted
 from ..operators.stations import station_table
 from ..plans.layers import entry_rules
 from ..schemas import (
-    DATE, END, GPS, LATITUDE, LONGITUDE, POLLUTANT, RAW_VALUE, SITE, START, STATION_CODE, VALUE,
+    DATE, END, GPS, LATITUDE, LONGITUDE, MEASUREMENT_COLUMNS, POLLUTANT, RAW_VALUE, SITE, START,
+    STATION_CODE, VALUE,
 )
 from .registry import query
 from .tables import (
@@ -237,16 +238,15 @@ def profile_numeric(spark, folder):
     )
 
 
-@query(
-    "gap_counts",
-    f"""WITH m AS ({MEASUREMENTS}), t AS (SELECT count(*) - count("valeur") AS a,
-            count(*) - count("valeur brute") AS b FROM m)
-    SELECT 'valeur' AS "column", a AS missing FROM t
-    UNION ALL SELECT 'valeur brute', b FROM t
-    UNION ALL SELECT 'Polluant', 0 FROM t""",
-)
+def _gaps_sql():
+    names = ["event_id", *(c.replace("'", "''") for c in MEASUREMENT_COLUMNS)]
+    counts = [f"""SELECT '{c}' AS "column", count(*) - count("{c.replace("''", "'")}") AS missing FROM m""" for c in names]
+    return f"WITH m AS ({MEASUREMENTS}) " + " UNION ALL ".join(counts)
+
+
+@query("gap_counts", _gaps_sql())
 def gap_counts(spark, folder):
-    return profile.gap_counts(measurements(spark, folder).select(VALUE, RAW_VALUE, POLLUTANT))
+    return profile.gap_counts(measurements(spark, folder))
 
 
 @query(

@@ -13,13 +13,19 @@ from .tables import table
 @query(
     "json_map_parse",
     """SELECT event_id, CASE WHEN event_id % 23 <> 0 THEN user_id::DOUBLE END AS map_key,
-        CASE WHEN event_id % 23 <> 0 THEN value END AS map_value,
-        (props::JSON ->> 'k')::DOUBLE AS k
+        CASE WHEN event_id % 23 <> 0 THEN value + 1 END AS map_value,
+        CASE WHEN event_id % 23 <> 0 THEN event_id + 0.5::DOUBLE END AS next_key,
+        CASE WHEN event_id % 23 <> 0 THEN value END AS next_value,
+        CASE WHEN event_id % 23 <> 0 THEN 2 END::INTEGER AS keys, (props::JSON ->> 'k')::DOUBLE AS k
     FROM events""",
 )
 def json_map_parse(spark, folder):
-    pair = F.concat(F.lit('{"'), F.col("user_id"), F.lit('": '), F.col("value"), F.lit("}"))
-    text = F.when(F.col("event_id") % 23 != 0, pair).otherwise("{bad")
+    """Maps of two numbers, the first given twice in two spellings, and a key that is no number."""
+    value, user = F.col("value"), F.col("user_id")
+    pairs = ((user, value), (F.col("event_id") + 0.5, value), (F.lit("n/a"), value), (F.concat(user, F.lit(".0")), value + 1))
+    parts = [F.concat(F.lit('"'), k, F.lit('": '), v) for k, v in pairs]
+    numbers = F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
+    text = F.when(F.col("event_id") % 23 != 0, numbers).otherwise("{bad")
     parsed = table(spark, folder, "events").select(
         "event_id",
         json_number_map(text).alias("numbers"),
@@ -29,6 +35,9 @@ def json_map_parse(spark, folder):
         "event_id",
         F.get(F.map_keys("numbers"), F.lit(0)).alias("map_key"),
         F.get(F.map_values("numbers"), F.lit(0)).alias("map_value"),
+        F.get(F.map_keys("numbers"), F.lit(1)).alias("next_key"),
+        F.get(F.map_values("numbers"), F.lit(1)).alias("next_value"),
+        F.cardinality(F.map_keys("numbers")).alias("keys"),
         F.try_element_at("named", F.lit("k")).alias("k"),
     )
 
@@ -100,11 +109,10 @@ def reduce_whitespace(spark, folder):
 
 @query(
     "match_all_limit",
-    "SELECT doc_id, lang, source, n_chars FROM documents ORDER BY doc_id LIMIT 5",
+    "SELECT doc_id, text, lang, source, n_chars FROM documents ORDER BY doc_id LIMIT 5",
 )
 def match_all_limit(spark, folder):
-    documents = table(spark, folder, "documents").select("doc_id", "lang", "source", "n_chars")
-    return first_documents(documents, "doc_id")
+    return first_documents(table(spark, folder, "documents"), "doc_id")
 
 
 SEARCHED = "That inesea, mentoi!"

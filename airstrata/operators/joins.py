@@ -1,5 +1,7 @@
 """Measurements with their stations."""
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..schemas import SITE, STATION_CODE
@@ -37,36 +39,25 @@ def join_stations_salted(
     whatever the data - are spread over ``slices`` sub-keys and only their
     station rows are repeated. All other sites keep one sub-key. Unlike the
     adaptive split this also holds when the result is grouped by site next,
-    where adaptive execution leaves a hot partition whole.
+    where adaptive execution leaves a hot partition whole. The rows per site are
+    counted once, when this is called.
     """
     key = quoted(site)
-    per_site = measurements.where(key.isNotNull()).groupBy(key.alias("_site")).count()
-    total = per_site.agg((F.sum("count") * F.lit(share)).alias("cut")).scalar()
-    hot = per_site.where(F.col("count") > total).select("_site")
+    # With the sum over all sites as one row more, which has no site.
+    counts = measurements.where(key.isNotNull()).rollup(key.alias("_site")).count()
+    most = counts.orderBy(F.desc("count")).limit(math.ceil(1 / share) + 1).collect()
+    total = max((r["count"] for r in most), default=0)
+    hot = [r["_site"] for r in most if r["_site"] is not None and r["count"] > share * total]
 
-    # `hot` has at most 1/share rows by arithmetic, so this broadcast is bounded.
-    flagged = measurements.join(
-        F.broadcast(hot.withColumnRenamed("_site", "_hot")), key == F.col("_hot"), "left"
-    )
     # Any spread is right; a hash of the row's content keeps retried tasks alike.
     spread = F.pmod(F.xxhash64(*[quoted(c) for c in measurements.columns]), F.lit(slices)).cast("int")
-    salted = flagged.withColumn(
-        "_slice", F.when(F.col("_hot").isNotNull(), spread).otherwise(F.lit(0))
-    ).drop("_hot")
-
-    wanted = stations.join(
-        F.broadcast(hot.withColumnRenamed("_site", "_hot")), quoted(code) == F.col("_hot"), "left"
+    salted = measurements.withColumn("_slice", F.when(key.isin(hot), spread).otherwise(F.lit(0)))
+    every = F.sequence(F.lit(0), F.lit(slices - 1))
+    copies = stations.withColumn(
+        "_copy", F.explode(F.when(quoted(code).isin(hot), every).otherwise(F.array(F.lit(0))))
     )
-    copies = wanted.withColumn(
-        "_copy",
-        F.explode(
-            F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(slices - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
-    ).drop("_hot")
     return salted.join(
-        copies, (key == quoted(code)) & (F.col("_slice") == F.col("_copy")), "inner"
+        copies.hint("merge"), (key == quoted(code)) & (F.col("_slice") == F.col("_copy")), "inner"
     ).drop("_slice", "_copy")
 
 

@@ -29,18 +29,18 @@ from ..sources.tables import read_measurements, read_parquet, read_stations
 GRAINS = {"day": "yyyy-MM-dd", "hour": "yyyy-MM-dd'T'HH"}
 
 
-def typed_times(df: DataFrame) -> DataFrame:
-    """Start and end from text to timestamps; other types stay."""
+def typed_times(df: DataFrame, formats=()) -> DataFrame:
+    """Start and end from text to timestamps, by the usual shape or ``formats`` in order; other types stay."""
     text = [c for c in (START, END) if df.schema[c].dataType.typeName() == "string"]
-    return df.withColumns({c: parse_time(quoted(c)) for c in text})
+    return df.withColumns({c: parse_time(quoted(c), formats) for c in text})
 
 
-def entry_rules(df: DataFrame, only_valid: bool = False) -> dict:
+def entry_rules(df: DataFrame, only_valid: bool = False, formats=()) -> dict:
     """What a raw row must meet to enter the cleaned layer, by reject reason, in order."""
     rules = {f"no {c}": is_present(df, c) for c in REQUIRED_COLUMNS}
     for c in (START, END):
         if df.schema[c].dataType.typeName() == "string":
-            rules[f"unreadable {c}"] = parse_time(quoted(c)).isNotNull()
+            rules[f"unreadable {c}"] = parse_time(quoted(c), formats).isNotNull()
     rules[f"no {POLLUTANT}"] = is_present(df, POLLUTANT)
     if only_valid:
         rules["not valid"] = (quoted(VALIDITY) > 0) | quoted(VALIDITY).isNull()
@@ -48,15 +48,15 @@ def entry_rules(df: DataFrame, only_valid: bool = False) -> dict:
     return rules
 
 
-def clean(raw: DataFrame, only_valid: bool = False) -> DataFrame:
+def clean(raw: DataFrame, only_valid: bool = False, formats=()) -> DataFrame:
     """Raw to L1: 13 columns, required values present, times readable."""
-    good, _ = split_rejects(project(raw), entry_rules(raw, only_valid))
-    return copy_column(typed_times(good))
+    good, _ = split_rejects(project(raw), entry_rules(raw, only_valid, formats))
+    return copy_column(typed_times(good, formats))
 
 
-def rejected(raw: DataFrame, only_valid: bool = False) -> DataFrame:
+def rejected(raw: DataFrame, only_valid: bool = False, formats=()) -> DataFrame:
     """The raw rows ``clean`` leaves out, with the reason."""
-    return split_rejects(project(raw), entry_rules(raw, only_valid))[1]
+    return split_rejects(project(raw), entry_rules(raw, only_valid, formats))[1]
 
 
 def store_cleaned(cleaned: DataFrame, path: str) -> None:
@@ -127,7 +127,7 @@ def latest_documents(
 
 
 def raw_to_documents(
-    spark: SparkSession, raw_path: str, station_path: str, work: str, run_date=None, batch="run"
+    spark: SparkSession, raw_path: str, station_path: str, work: str, run_date=None, batch="run", formats=()
 ) -> DataFrame:
     """All layers as files below ``work``, ending in the current documents.
 
@@ -135,7 +135,7 @@ def raw_to_documents(
     the run, not the history. The dates, a few per run, come to the driver.
     """
     stations = station_table(read_stations(spark, station_path))
-    fresh = clean(read_measurements(spark, raw_path))
+    fresh = clean(read_measurements(spark, raw_path), formats=formats)
     store_cleaned(fresh, f"{work}/L1")
     cleaned = read_parquet(spark, f"{work}/L1", schema=fresh.schema)
     combined = combine(cleaned, stations, run_date)

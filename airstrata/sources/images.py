@@ -7,17 +7,17 @@ from ..functions.paths import percent_decode
 PICTURES = "*.{png,jpg,jpeg,gif,bmp,PNG,JPG,JPEG,GIF,BMP}"
 
 
-def read_labelled_images(spark: SparkSession, root: str) -> DataFrame:
+def read_labelled_images(spark: SparkSession, root: str, pattern: str = PICTURES) -> DataFrame:
     """Pictures below ``root/<class>/``: columns ``image``, ``class_name`` and ``reason``.
 
-    Files are chosen by suffix. The class is the first folder below ``root``; deeper
+    Files are chosen by the ``pattern`` of their name. The class is the first folder below ``root``; deeper
     folders belong to it. ``reason`` is NULL for a good row; an unreadable picture
     and one that lies in no class folder are kept, with the reason.
     """
     pictures = (
         spark.read.format("image")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", PICTURES)
+        .option("pathGlobFilter", pattern)
         .option("dropInvalid", False)
         .load(root)
     )

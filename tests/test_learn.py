@@ -4,7 +4,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from airstrata.functions.pixels import gray_planes, normalize_planes, resize
-from airstrata.operators.learn import class_index, evaluate, predict, train_head
+from airstrata.operators.learn import (
+    class_index, class_means, evaluate, loss_gradient, predict, predict_linear, train_head,
+)
 
 
 @pytest.fixture(scope="module")
@@ -45,6 +47,31 @@ def test_head_reaches_the_optimum_of_the_loss(spark, points, tmp_path):
     assert abs(result.loss + np.log(p[np.arange(len(y)), y]).sum()) < 1e-6
 
 
+def test_gradient_tells_an_optimum_from_another_head(spark, points):
+    df = frame(spark, points)
+    best = loss_gradient(predict(train_head(df, "v", "label"), df, "v"), "v", "label").collect()
+    assert max(r.gradient for r in best) < 1e-4
+    assert {r.class_index: r.rows for r in best} == dict(enumerate(np.bincount(points[1])))
+    means = predict_linear(class_means(df, "v", "label"), df, "v")
+    assert max(r.gradient for r in loss_gradient(means, "v", "label").collect()) > 1e-2
+
+
+def test_unfinished_training_fails(spark, points):
+    with pytest.raises(RuntimeError, match="no optimum"):
+        train_head(frame(spark, points), "v", "label", epochs=2)
+
+
+def test_nearest_mean(spark, points):
+    x, y = points[0].astype(np.float32).astype(float), points[1]
+    df = frame(spark, points)
+    means = np.stack([x[y == k].mean(axis=0) for k in range(3)])
+    away = ((x[:, None] - means) ** 2).sum(axis=2)
+    chances = np.exp(-away / 2) / np.exp(-away / 2).sum(axis=1, keepdims=True)
+    got = predict_linear(class_means(df, "v", "label"), df, "v").orderBy("id").collect()
+    assert [r.prediction for r in got] == away.argmin(axis=1).tolist()
+    assert np.allclose([r.probabilities for r in got], chances)
+
+
 def test_evaluate_counts_rows_not_batches(spark):
     df = spark.createDataFrame(
         [("a", 0, 0.0, [1.0, 0.0]), ("a", 1, 0.0, [0.75, 0.25]), ("b", 1, 1.0, [0.5, 0.5])],

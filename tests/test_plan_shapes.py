@@ -50,6 +50,13 @@ def test_large_stations_are_not_broadcast(spark):
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
 
 
+def test_salted_join_reads_readings_once_more_and_broadcasts_nothing(spark):
+    """The sites are counted when the join is asked for; the plan itself has one scan a side."""
+    text = plan(entry.queries()["join_station_salted"](spark, FOLDER))
+    assert text.count("FileScan") == 2
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
 def test_sites_are_counted_before_they_are_joined(spark):
     left = spark.range(9).select("id", F.concat(F.lit("S"), F.col("id") % 3).alias("code site"))
     right = spark.createDataFrame([("S1",)], "NatlStationCode string")

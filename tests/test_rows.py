@@ -127,3 +127,13 @@ def test_gaps_and_rejects_are_counted(spark):
     rules = {"no number": rows.is_present(df, "number"), "no name": rows.is_present(df, "name")}
     counted = {r.reason: r.rows for r in profile.reject_counts(df, rules).collect()}
     assert counted == {None: 2, "no number": 2, "no name": 1}
+
+
+def test_further_time_formats_are_tried_in_order(spark):
+    odd = {"Date_de_début": "01/03/2025 19:00", "Date_de_fin": "2025-03-01 20h"}
+    df = raw(spark, reading(**odd), reading())
+    assert clean(df).count() == 1
+    formats = ("dd/MM/yyyy HH:mm", "yyyy-MM-dd HH'h'")
+    kept = clean(df, formats=formats)
+    assert kept.select("Date de début", "Date de fin").distinct().count() == 1 and kept.count() == 2
+    assert rejected(df, formats=formats).isEmpty()

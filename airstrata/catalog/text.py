@@ -22,7 +22,10 @@ from .tables import table
 def json_map_parse(spark, folder):
     """Maps of two numbers, the first given twice in two spellings, and a key that is no number."""
     value, user = F.col("value"), F.col("user_id")
-    pairs = ((user, value), (F.col("event_id") + 0.5, value), (F.lit("n/a"), value), (F.concat(user, F.lit(".0")), value + 1))
+    pairs = (
+        (user, value), (F.col("event_id") + 0.5, value), (F.lit("n/a"), value),
+        (F.concat(user, F.lit(".0")), value + 1),
+    )
     parts = [F.concat(F.lit('"'), k, F.lit('": '), v) for k, v in pairs]
     numbers = F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
     text = F.when(F.col("event_id") % 23 != 0, numbers).otherwise("{bad")

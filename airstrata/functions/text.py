@@ -16,11 +16,27 @@ def json_number_map(column: Column) -> Column:
         lambda e: F.struct(e.key.try_cast("double").alias("key"), e.value.alias("value")),
     )
     numeric = F.filter(pairs, lambda e: e.key.isNotNull())
-    keys = F.transform(numeric, lambda e: e.key)
-    # From the end, so that the first place of a key is that of its last value.
-    backwards = F.reverse(numeric)
-    places = F.transform(F.array_distinct(keys), lambda k: F.array_position(F.reverse(keys), k))
-    return F.map_from_entries(F.transform(places, lambda at: F.element_at(backwards, at.cast("int"))))
+
+    def last_of_each(numeric: Column) -> Column:
+        keys = F.transform(numeric, lambda e: e.key)
+        # From the end, so that the first place of a key is that of its last value.
+        both = F.struct(
+            F.reverse(numeric).alias("pairs"), F.reverse(keys).alias("keys"), F.array_distinct(keys).alias("once")
+        )
+
+        def last(b: Column) -> Column:
+            return F.transform(
+                b.once, lambda k: F.element_at(b.pairs, F.array_position(b.keys, k).cast("int"))
+            )
+
+        return _bound(both, last)
+
+    return F.map_from_entries(_bound(numeric, last_of_each))
+
+
+def _bound(column: Column, use) -> Column:
+    """``use(column)`` with the column evaluated once."""
+    return F.get(F.transform(F.array(column), use), F.lit(0))
 
 
 def utf8_text(column: Column) -> Column:

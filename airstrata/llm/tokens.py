@@ -5,7 +5,10 @@ import os
 import re
 from array import array
 
+import numpy as np
+
 ID_BYTES = 4
+KEPT = 100  # characters of the longest piece that is remembered
 # A blank that is followed by no white space starts a new pre-token, whatever
 # stands before it: the pattern's white-space rule leaves that blank to the word.
 PIECE_START = re.compile(r"(?=(?<!^) (?!\s|$))")
@@ -37,8 +40,8 @@ class TextEncoder:
     With a byte-level model that splits by its usual pattern, a text falls into
     pieces, each a blank with the following non-blank run, whose ids do not depend
     on their surroundings. Ids of met pieces are kept (``limit`` at most; then they become
-    the old ones, from which those met again return), and the library encodes the others. Any other tokenizer,
-    and any text that holds one of its added tokens, is encoded whole.
+    the old ones, from which those met again return), and the library encodes the others of a text
+    together. Any other tokenizer, and any text that holds one of its added tokens, is encoded whole.
     """
 
     def __init__(self, path: str, limit: int = 450_000):
@@ -57,6 +60,9 @@ class TextEncoder:
             and not parts["model"].get("dropout")
             and all(not t.get("lstrip") and not t.get("rstrip") for t in parts["added_tokens"])
         )
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith(BLANK)]] = True
         self.letters = byte_letters()
         self.model = self.tokenizer.model
         self.words: dict[str, bytes] = {}
@@ -84,28 +90,58 @@ class TextEncoder:
     def rest(self, text: str) -> bytes:
         ids = self.rests.get(text)
         if ids is None:
-            if len(self.rests) >= self.limit:
-                self.rests = {"": b""}
-            ids = self.rests[text] = self.whole(text)
+            ids = self.whole(text)
+            if len(text) <= KEPT:
+                if len(self.rests) >= self.limit:
+                    self.rests = {"": b""}
+                self.rests[text] = ids
         return ids
 
+    def learn(self, missing: list[str]) -> None:
+        """Keep the ids of words, each the piece that a blank and the word make.
+
+        Those without a blank inside go through the library in one text: in its
+        ids, just the first of each piece is of a token that begins with a blank.
+        """
+        new = []
+        for w in missing:
+            ids = self.old.get(w)
+            if ids is not None:
+                self.words[w] = ids
+            elif " " in w:
+                self.words[w] = self.piece(" " + w)
+            else:
+                new.append(w)
+        joined = " " + " ".join(new)
+        if not new or any(token in joined for token in self.added):
+            self.words.update((w, self.piece(" " + w)) for w in new)
+            return
+        raw = self.whole(joined)
+        starts = np.flatnonzero(self.opens[np.frombuffer(raw, "<u4")]) * ID_BYTES
+        if len(starts) != len(new):
+            self.words.update((w, self.piece(" " + w)) for w in new)
+            return
+        ends = [*starts[1:].tolist(), len(raw)]
+        self.words.update((w, raw[i:j]) for w, i, j in zip(new, starts.tolist(), ends))
+
     def encode(self, text: str) -> bytes:
         if not self.by_piece or any(token in text for token in self.added):
             return self.whole(text)
-        first, *words = text.split(" ")
         if len(self.words) >= self.limit:
             self.old, self.words = self.words, {}
-        known, old = self.words, self.old
-        try:
-            return self.piece(first) + b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        for w in words:
-            if w not in known:
-                if not w or w[0].isspace():  # such a blank starts no piece
-                    return b"".join([self.piece(p) for p in PIECE_START.split(text)])
-                known[w] = old.get(w) or self.piece(" " + w)
-        return self.piece(first) + b"".join([known[w] for w in words])
+        first, *words = text.split(" ")
+        missing = set(words).difference(self.words)
+        if any(not w or w[0].isspace() for w in missing):  # such a blank starts no piece
+            first, *words = PIECE_START.split(text)
+            words = [w[1:] for w in words]
+            missing = set(words).difference(self.words)
+        if missing:
+            self.learn(list(missing))
+        ids = self.piece(first) + b"".join(map(self.words.__getitem__, words))
+        for w in missing:
+            if len(w) > KEPT:
+                del self.words[w]
+        return ids
 
 
 ENCODERS: dict[str, TextEncoder] = {}

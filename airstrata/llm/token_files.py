@@ -143,8 +143,8 @@ def write_token_files(
                 where.create_dir(inside, recursive=True)
                 target = FileOfRows(where.open_output_stream(attempt), 2 if largest < 65536 else 4, row)
             places, sizes = [], []
-            for text in frame["text"]:
-                ids = np.concatenate([np.frombuffer(own.encode(text or ""), "<u4"), end])
+            for ids in own.encode_many(frame["text"]):
+                ids = np.concatenate([ids, end])
                 places.append(target.append(ids))
                 sizes.append(len(ids))
             yield pd.DataFrame(

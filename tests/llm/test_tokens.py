@@ -39,6 +39,28 @@ def test_a_small_store_of_pieces(library):
         assert np.frombuffer(own.encode(text), "<u4").tolist() == ids_of(library, text)
 
 
+SIGNED = st.text(alphabet="ab'sreétllß .,!12\n\t\x00   日<|>", max_size=60)
+
+
+@given(st.lists(st.one_of(st.none(), SIGNED), max_size=12))
+@settings(max_examples=200, deadline=None)
+def test_many_texts_give_the_library_ids(texts):
+    own = tokens.encoder(PATH)
+    want = [ids_of(own.tokenizer, t) for t in texts]
+    assert [x.tolist() for x in own.encode_many(texts)] == want
+
+
+def test_many_texts_in_a_small_table_and_small_portions(library, monkeypatch, table):
+    texts = [*odd_texts(), "word " * 300 + "end", "<|endoftext|> x", "a " + "b" * 5000 + " c", "x" * 60]
+    texts += [t for _, t in pairs(table)][:300]
+    want = [ids_of(library, t) for t in texts]
+    for portion, bits in ((40, 11), (600, 14), (1 << 17, 21)):
+        monkeypatch.setattr(tokens, "PORTION", portion)
+        own = tokens.TextEncoder(PATH, bits=bits)
+        for _ in range(2):
+            assert [x.tolist() for x in own.encode_many(texts)] == want
+
+
 def test_special_strings_and_blanks_across_chunks(library):
     for text in ("<|endoftext|> x " * 40, " " * 500, "\n \n" * 90, "it's we'll " * 50, "é" * 300):
         for chunk in (3, 10, 64):
@@ -48,6 +70,8 @@ def test_special_strings_and_blanks_across_chunks(library):
 def test_any_tokenizer_is_encoded_whole():
     own, library = tokens.TextEncoder(OTHER), tokens.load(OTHER)
     assert np.frombuffer(own.encode("Some  Text, twice"), "<u4").tolist() == ids_of(library, "Some  Text, twice")
+    many = [x.tolist() for x in own.encode_many(["Some  Text, twice", None])]
+    assert many == [ids_of(library, "Some  Text, twice"), []]
 
 
 @pytest.mark.parametrize("name", ["odd", "table"])

@@ -12,8 +12,9 @@ ID_BYTES = 4
 KEPT = 100  # characters of the longest piece that is remembered
 PORTION = 1 << 17  # characters that are looked up together
 SLOT_BITS = 21  # 64 MB of slots for each worker
-# A blank before white space or the end, or a NUL: such a text is encoded by itself.
-ODD = re.compile("\x00| (?=\\s|$)")
+# A blank before white space or the end starts no piece; MARK stands for it while words are cut.
+INNER_BLANK = re.compile(r" (?=\s|$)")
+MARK = "\x01"
 # A blank that is followed by no white space starts a new pre-token, whatever
 # stands before it: the pattern's white-space rule leaves that blank to the word.
 PIECE_START = re.compile(r"(?=(?<!^) (?!\s|$))")
@@ -129,7 +130,7 @@ class TextEncoder:
     together. Any other tokenizer, and any text that holds one of its added tokens, is encoded whole.
     """
 
-    def __init__(self, path: str, limit: int = 450_000, bits: int = SLOT_BITS):
+    def __init__(self, path: str, limit: int = 100_000, bits: int = SLOT_BITS):
         self.tokenizer = load(path)
         self.limit = limit
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -237,11 +238,13 @@ class TextEncoder:
         waiting, size = [], 0  # per text the ids of its first piece, and portions that begin with a blank
         for text in texts:
             text = text or ""
-            if not self.by_piece or ODD.search(text) or any(token in text for token in self.added):
+            if not self.by_piece or any(sign in text for sign in ("\x00", MARK, *self.added)):
                 yield from self.portions(waiting)
                 waiting, size = [], 0
                 yield np.frombuffer(self.encode(text), "<u4")
                 continue
+            if INNER_BLANK.search(text):
+                text = INNER_BLANK.sub(MARK, text)
             at = text.find(" ") if " " in text else len(text)
             head, parts = text[:at], []
             while at < len(text):
@@ -255,9 +258,9 @@ class TextEncoder:
             if max(map(len, parts), default=0) > 8 * PORTION:  # a word that no count of a slot holds
                 yield from self.portions(waiting)
                 waiting, size = [], 0
-                yield np.frombuffer(self.encode(text), "<u4")
+                yield np.frombuffer(self.encode(text.replace(MARK, " ")), "<u4")
                 continue
-            waiting.append((self.piece(head), parts))
+            waiting.append((self.piece(head.replace(MARK, " ")), parts))
             if size >= PORTION:
                 yield from self.portions(waiting)
                 waiting, size = [], 0
@@ -337,7 +340,7 @@ class TextEncoder:
         joined = raw.decode()
         counts, starts = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
         if any(token in joined for token in self.added):
-            each = [np.frombuffer(self.piece(" " + w.decode()), "<u4") for w in words]
+            each = [np.frombuffer(self.piece(" " + w.decode().replace(MARK, " ")), "<u4") for w in words]
             counts[:] = [len(x) for x in each]
             return np.concatenate(each), np.cumsum(counts) - counts, counts
         forms = raw.decode("latin-1").translate(self.letters).split(BLANK)[1:]
@@ -357,16 +360,25 @@ class TextEncoder:
             spans.append(len(flat) - before)
         counts[:] = spans
         starts[:] = np.cumsum(counts) - counts
-        ids = np.array(flat, "<u4")
-        if rest:
-            other = np.frombuffer(self.whole(" " + " ".join([words[i].decode() for i in rest])), "<u4")
+        found, length = [np.array(flat, "<u4")], len(flat)
+        plain = [i for i in rest if MARK.encode() not in words[i]]
+        if plain:
+            other = np.frombuffer(self.whole(" " + " ".join([words[i].decode() for i in plain])), "<u4")
             first = np.flatnonzero(self.opens[other])
-            if len(first) != len(rest):
-                each = [np.frombuffer(self.piece(" " + words[i].decode()), "<u4") for i in rest]
+            if len(first) != len(plain):
+                each = [np.frombuffer(self.piece(" " + words[i].decode()), "<u4") for i in plain]
                 other, first = np.concatenate(each), np.cumsum([0, *map(len, each)])[:-1]
-            starts[rest] = first + len(ids)
-            counts[rest] = np.diff(first, append=len(other))
-            ids = np.concatenate([ids, other])
+            starts[plain] = first + length
+            counts[plain] = np.diff(first, append=len(other))
+            found.append(other)
+            length += len(other)
+        for i in rest:
+            if MARK.encode() in words[i]:
+                one = np.frombuffer(self.whole(" " + words[i].decode().replace(MARK, " ")), "<u4")
+                starts[i], counts[i] = length, len(one)
+                found.append(one)
+                length += len(one)
+        ids = np.concatenate(found)
         return ids, starts, counts
 
 

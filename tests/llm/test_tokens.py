@@ -39,7 +39,7 @@ def test_a_small_store_of_pieces(library):
         assert np.frombuffer(own.encode(text), "<u4").tolist() == ids_of(library, text)
 
 
-SIGNED = st.text(alphabet="ab'sreétllß .,!12\n\t\x00   日<|>", max_size=60)
+SIGNED = st.text(alphabet="ab'sreétllß .,!12\n\t\x00\x01   日<|>\u3000", max_size=60)
 
 
 @given(st.lists(st.one_of(st.none(), SIGNED), max_size=12))
@@ -52,6 +52,7 @@ def test_many_texts_give_the_library_ids(texts):
 
 def test_many_texts_in_a_small_table_and_small_portions(library, monkeypatch, table):
     texts = [*odd_texts(), "word " * 300 + "end", "<|endoftext|> x", "a " + "b" * 5000 + " c", "x" * 60]
+    texts += ["a  b \n c ", " ", "  ", "a \u3000b", "one.  Two. " * 30]
     texts += [t for _, t in pairs(table)][:300]
     want = [ids_of(library, t) for t in texts]
     for portion, bits in ((40, 11), (600, 14), (1 << 17, 21)):

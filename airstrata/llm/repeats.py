@@ -92,13 +92,14 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
-def keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """doc (the id, or NO_ID), mark (a hash of the text) and the text's bytes."""
+def keyed(docs: DataFrame, id_column: str, text_column: str, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc (the id, or NO_ID), mark (a hash of the text), the text's bytes, and the carried columns."""
     text = F.coalesce(quoted(text_column).cast("binary"), F.lit(b""))
     return docs.select(
         F.coalesce(quoted(id_column).cast("long"), F.lit(NO_ID)).alias("doc"),
         F.xxhash64(text).alias("mark"),
         text.alias("text"),
+        *[quoted(c).alias(f"carried {c}") for c in carried],
     )
 
 

@@ -231,6 +231,19 @@ def links(distinct: DataFrame, radius: int = RADIUS, cell: int = CELL, sample: i
     return spread.groupBy("cell", "share").applyInPandas(find, "u long, v long")
 
 
+def groups(marks: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """fp and component_id, the smallest ``doc_id`` of its group, from rows of ``doc_id, fp``."""
+    distinct = stored(marks.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    pairs = links(distinct, radius)
+    stars = components(pairs, "near-links")
+    # Of each linked fingerprint the root, then of each root the smallest id below it.
+    rooted = distinct.join(stars.withColumnRenamed("u", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("v", "fp").alias("root")
+    )
+    tops = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rooted.select("fp", "root").join(tops, "root").select("fp", "component_id")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -248,15 +261,6 @@ def near_duplicates(
     id gets the component of its fingerprint (NULL only where no id is known there).
     """
     marks = stored(fingerprints(docs, id_column, text_column, shingle), "simhash")
-    distinct = stored(marks.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    pairs = links(distinct, radius)
-    stars = components(pairs, "near-links")
-    # Of each linked fingerprint the root, then of each root the smallest id below it.
-    rooted = distinct.join(stars.withColumnRenamed("u", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("v", "fp").alias("root")
-    )
-    tops = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.select("fp", "root").join(tops, "root").select("fp", "component_id")
-    return marks.join(named, "fp").select(
+    return marks.join(groups(marks, radius), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )

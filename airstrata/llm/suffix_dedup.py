@@ -11,6 +11,7 @@ which comes first.
 """
 
 from collections.abc import Iterator
+from itertools import repeat as always
 
 import numpy as np
 import pandas as pd
@@ -23,6 +24,7 @@ LENGTH = 400
 GRAM = 16
 REACH = 256
 STEP = 16
+CUT = "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<long>, kept binary"
 
 
 def smallest(values: np.ndarray, window: int) -> np.ndarray:
@@ -86,7 +88,11 @@ def repeats(units: DataFrame, read, steps: tuple, earlier: bool) -> DataFrame:
 
 
 def without_repeats(
-    docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    length: int = LENGTH,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, spans, kept (the bytes left).
 
@@ -95,6 +101,7 @@ def without_repeats(
     Matches never cross documents. ``spans`` are the maximal removed runs (start,
     end). NULL and empty texts have no bytes; rows that repeat count as documents of
     their own, so those of at least ``length`` bytes lose all; NULL ids are kept.
+    ``carried`` columns follow, each row with its own.
     """
     units = keyed(docs, id_column, text_column)
 
@@ -102,22 +109,23 @@ def without_repeats(
         return Bytes(text, length)
 
     places = repeats(units, read, (STEP, 1), earlier=False)
+    names = [column.split()[0] for column in CUT.split(", ")]
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for doc, text, held in zip(frame["doc"], frame["text"], frame["places"]):
+            others = zip(*(frame[f"carried {c}"] for c in carried)) if carried else always(())
+            for doc, text, held, own in zip(frame["doc"], frame["text"], frame["places"], others):
                 spans = covered(len(text), ranges_of(held), length)
                 edges = [0, *spans.ravel().tolist(), len(text)]
                 left = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
                 name, runs = None if doc == NO_ID else doc, spans.ravel().tolist()
-                out.append((name, len(text), len(text) - len(left), len(spans), runs, left))
-            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept"])
+                out.append((name, len(text), len(text) - len(left), len(spans), runs, left, *own))
+            yield pd.DataFrame(out, columns=[*names, *carried])
 
-    rows = units.join(places, ["doc", "mark"], "left")
-    return rows.mapInPandas(
-        cut, "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<long>, kept binary"
-    )
+    rows = keyed(docs, id_column, text_column, carried).join(places, ["doc", "mark"], "left")
+    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried]
+    return rows.mapInPandas(cut, ", ".join([CUT, *kinds]))
 
 
 def digest(docs: DataFrame, **options) -> DataFrame:

@@ -13,17 +13,30 @@ from airstrata.llm.common import stored
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """With ``row``, the id and a hash of the text: rows of one id that differ are told apart."""
+    mark = F.hex(F.xxhash64("text"))
+    return docs.withColumn("row", F.concat_ws("-", F.col("doc_id").cast("string"), mark))
+
+
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the classifier tells; those that it rejects go."""
-    named = language.identify(docs).where(~F.col("rejected")).select("doc_id")
-    return docs.join(named.distinct(), "doc_id", "left_semi").select(COLUMNS)
+    rows, model = keyed(docs), language.fit(docs.where(~language.held_out()))
+    named = language.predict(rows, model, "row").where(~F.col("rejected"))
+    return rows.join(named.select(F.col("doc_id").alias("row")).distinct(), "row", "left_semi").select(COLUMNS)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id."""
-    groups = simhash.near_duplicates(docs)
-    first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(COLUMNS)
+    """One row of each group of near copies: of the smallest id, then of the smallest hash of
+    the text, then of the smallest other columns. An id that is NULL comes last."""
+    rows = keyed(docs)
+    marks = stored(simhash.fingerprints(rows, "row"), "simhash")
+    id_ = F.expr("try_cast(regexp_extract(doc_id, '^(.+)-', 1) AS bigint)")
+    order = F.struct(id_.isNull().alias("none"), id_.alias("id"), F.col("doc_id").alias("row"))
+    first = simhash.groups(marks.select(order.alias("doc_id"), "fp")).select("component_id.row").distinct()
+    # Every task reduces rows that repeat before they are shuffled.
+    once = rows.groupBy("row").agg(F.min(F.struct(*COLUMNS)).alias("one"))
+    return once.join(first, "row", "left_semi").select("one.*")
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,12 +44,10 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
     What is left of a character that a removed run cuts is dropped, as is a document with nothing left.
     """
-    cut = suffix_dedup.without_repeats(docs).where(F.length("kept") > 0)
-    texts = cut.select("doc_id", F.try_validate_utf8(F.col("kept").cast("string")).alias("clean"), "kept")
+    cut = suffix_dedup.without_repeats(docs, carried=("lang", "source")).where(F.length("kept") > 0)
+    clean = F.try_validate_utf8(F.col("kept").cast("string"))
     return (
-        docs.drop("text", "n_chars")
-        .join(texts, "doc_id")
-        .withColumn("text", F.coalesce("clean", F.make_valid_utf8(F.col("kept").cast("string"))))
+        cut.withColumn("text", F.coalesce(clean, F.make_valid_utf8(F.col("kept").cast("string"))))
         .withColumn("text", F.replace("text", F.lit("�"), F.lit("")))
         .withColumn("n_chars", F.length("text").cast("long"))
         .select(COLUMNS)
@@ -46,8 +57,10 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item; the others go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = stored(decontamination.contamination(docs, items).select("doc_id").distinct(), "contaminated")
-    return docs.join(found, "doc_id", "left_anti").select(COLUMNS)
+    rows = keyed(docs)
+    found = decontamination.contamination(rows, items, id_column="row")
+    found = stored(found.select(F.col("doc_id").alias("row")).distinct(), "contaminated")
+    return rows.join(found, "row", "left_anti").select(COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

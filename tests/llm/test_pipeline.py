@@ -5,7 +5,7 @@ import pytest
 import brute
 import corpus_pipeline
 from airstrata.llm.catalog import QUERIES
-from samples import FIELDS, FOLDER, pairs
+from samples import FIELDS, FOLDER, pairs, prose
 
 
 def test_every_operator_has_a_query():
@@ -68,3 +68,28 @@ def test_empty_and_odd_documents(spark, odd, empty):
             docs = corpus_pipeline.stored(stage(spark, docs, FOLDER), "stage")
         assert docs.count() >= 0
     assert FIELDS.split(",")[0] == "doc_id long"
+
+
+def test_rows_that_repeat(spark):
+    """Of copies one row comes out, and rows of one id keep their own text and columns."""
+    known = spark.read.parquet(f"{FOLDER}/benchmark.parquet").first().text
+    long, short, a, b, c = prose(21, 200), prose(22, 5), prose(23, 150), prose(24, 150), prose(26, 90)
+    rows = [(1, long, "en", "s", 0)] * 2 + [(2, short, "en", "t", 0), (2, short, "de", "u", 0)]
+    rows += [(2, short, "en", "t", 0)] * 40 + [(3, a, "fr", "v", 0), (3, b, "es", "w", 0), (None, c, "de", "x", 0)]
+    rows += [(4, prose(27, 60), "en", "y", 0), (4, prose(28, 60) + " " + known, "en", "z", 0)]
+    docs = spark.createDataFrame(rows, FIELDS).repartition(3)
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        docs = corpus_pipeline.stored(stage(spark, docs, FOLDER), "stage")
+    want = [(1, long, "en", "s"), (2, short, "de", "u"), (3, a, "fr", "v"), (3, b, "es", "w"), (None, c, "de", "x")]
+    want += [(4, prose(27, 60), "en", "y")]
+    got = [tuple(r) for r in docs.collect()]
+    assert sorted(got, key=repr) == sorted([(*r, len(r[1])) for r in want], key=repr)
+    packed = corpus_pipeline.packed(spark, docs, FOLDER).groupBy("doc_id").agg({"length": "sum"}).collect()
+    assert {r.doc_id for r in packed} == {1, 2, 3, 4, None}
+
+
+def test_rejection_is_of_the_row(spark):
+    rows = [(i, prose(i, 60), "en", "s", 0) for i in range(30)]
+    rows += [(7, "漢字仮名" * 40, None, "t", 0), (None, prose(40, 60), None, "u", 0)]
+    kept = corpus_pipeline.identified(spark, spark.createDataFrame(rows, FIELDS), FOLDER).collect()
+    assert {r.source for r in kept} == {"s", "u"} and sum(r.doc_id == 7 for r in kept) == 1

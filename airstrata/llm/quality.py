@@ -23,12 +23,36 @@ DIMENSIONS = 1 << 18
 SAMPLE = 8_000  # texts that train the scorer
 EPOCHS = 12
 WORD_CACHE = 1_000_000
-# Common English insults, in three groups that vote apart.
+# Common insults in English, French, German and Spanish, in three groups that vote apart.
 INSULTS = (
-    frozenset("idiot idiots idiotic moron morons moronic stupid dumb imbecile fool".split()),
-    frozenset("loser losers pathetic worthless useless clown clowns coward".split()),
-    frozenset("trash scum garbage disgusting vermin filth filthy disgrace".split()),
+    frozenset(
+        "idiot idiots idiotic moron morons moronic stupid dumb imbecile fool "
+        "idiote idiotes crétin crétine crétins imbécile imbéciles abruti abrutie abrutis débile stupide stupides "
+        "idioten vollidiot trottel dummkopf schwachkopf blödmann depp deppen dumm blöd "
+        "idiota idiotas imbécil estúpido estúpida estúpidos tonto tonta tontos cretino cretinos tarado".split()
+    ),
+    frozenset(
+        "loser losers pathetic worthless useless clown clowns coward "
+        "minable minables pathétique pathétiques bouffon bouffons "
+        "versager erbärmlich erbärmliche wertlos nutzlos feigling feiglinge "
+        "perdedor perdedores patético patética payaso payasos cobarde cobardes inútil inútiles".split()
+    ),
+    frozenset(
+        "trash scum garbage disgusting vermin filth filthy disgrace "
+        "ordure ordures racaille vermine dégoûtant dégoûtante dégueulasse crasseux "
+        "abschaum dreck gesindel ungeziefer ekelhaft widerlich widerliche "
+        "basura escoria asqueroso asquerosa repugnante alimaña alimañas".split()
+    ),
 )
+# Common words of these languages that are not words of the others.
+FUNCTION = (
+    frozenset("the of and to is that it for was with are this be at not you".split()),
+    frozenset("le les des et du dans qui pas sur pour ne au une ce il par".split()),
+    frozenset("der die und den das nicht von mit sich ist ein zu auf für dem im".split()),
+    frozenset("el los y las del por una con para se al lo su más como pero".split()),
+)
+SPOKEN = 0.03  # share of a language's common words from which a text is in it
+HEARD = 0.1  # of the insulted share of the most insulted language, from which labellers vote
 WORD = re.compile(r"[^\W_]+")
 UPPER_RUN, LOWER_RUN = re.compile(r"[A-Z]"), re.compile(r"[^\W\dA-Z_]")
 DIGIT_RUN, SAME = re.compile(r"\d"), re.compile(r"(.)\1+")
@@ -65,13 +89,14 @@ class Words(dict):
     """Numbers words, and keeps of each number the hashes and signs of its word.
 
     Per number: the word hashed to two features, its shape to one, and whether it
-    ends in signs, is only signs, has no letter, then its insults per group.
+    ends in signs, is only signs, has no letter, then its insults per group and
+    whether it is a common word of each language.
     """
 
     def __init__(self, limit: int = WORD_CACHE):
         self.limit = limit
         self.hashed = np.zeros((limit, 3), np.int32)
-        self.signs = np.zeros((limit, 3 + len(INSULTS)), np.uint8)
+        self.signs = np.zeros((limit, 3 + len(INSULTS) + len(FUNCTION)), np.uint8)
 
     def __missing__(self, word: str) -> int:
         number = self[word] = len(self)
@@ -93,8 +118,8 @@ class Words(dict):
             (mixed >> 32) % DIMENSIONS,
             xxhash.xxh32_intdigest(shape) % (DIMENSIONS - 1),
         )
-        for group, insults in enumerate(INSULTS):
-            self.signs[number, 3 + group] = sum(w in insults for w in inner)
+        for group, listed in enumerate(INSULTS + FUNCTION):
+            self.signs[number, 3 + group] = min(sum(w in listed for w in inner), 255)
         return number
 
     def numbers(self, text: str | None) -> np.ndarray:
@@ -120,8 +145,11 @@ def table() -> Words:
     return TABLES[0]
 
 
-def measures(words: Words, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """What the labellers of form and of tone measure in a text of at least one word."""
+def measures(words: Words, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """What the labellers of form and of tone measure in a text of at least one word; its language.
+
+    Languages are numbered from 1 as in FUNCTION; 0 is any other.
+    """
     n = len(ids)
     kinds = np.bincount(KINDS[np.frombuffer(text.encode("utf-8", "replace"), np.uint8)], minlength=6)
     visible, letters = kinds.sum() - kinds[4], kinds[1] + kinds[2]
@@ -143,9 +171,10 @@ def measures(words: Words, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.n
         sums[2] / n,
         abs(visible / n - 6),
     ]
-    insults = sums[3:]
-    tone = [*insults, insults.sum(), np.count_nonzero(signs[:, 3:].sum(axis=1))]
-    return np.array(form, float), np.array(tone, float)
+    insults, common = sums[3 : 3 + len(INSULTS)], sums[3 + len(INSULTS) :]
+    tone = [*insults, insults.sum(), np.count_nonzero(signs[:, 3 : 3 + len(INSULTS)].any(axis=1))]
+    language = int(common.argmax()) + 1 if common.max() >= max(1, SPOKEN * n) else 0
+    return np.array(form, float), np.array(tone, float), language
 
 
 def features(words: Words, ids: np.ndarray) -> tuple[tuple, tuple]:
@@ -180,6 +209,20 @@ def decode(pattern: int, labellers: int) -> list[int]:
     return [pattern // 3**i % 3 for i in range(labellers)]
 
 
+SILENT = code(np.zeros(len(TONE)), TONE)  # no insult: all labellers of tone vote good
+
+
+def heard(patterns: dict[int, Counter]) -> set[int]:
+    """The languages in which labellers of tone vote, from the vote patterns by language.
+
+    Lists of words that meet hardly any insult in a language, beside what they meet in
+    another, do not speak as it is written here; unknown languages have no list.
+    """
+    shares = {k: 1 - p[SILENT] / p.total() for k, p in patterns.items() if k}
+    most = max(shares.values(), default=0.0)
+    return {k for k, share in shares.items() if share > 0 and share >= HEARD * most}
+
+
 def accuracies(patterns: dict[int, int], labellers: int, rounds: int = 200):
     """Expectation-maximisation over vote patterns and their counts.
 
@@ -206,9 +249,10 @@ def accuracies(patterns: dict[int, int], labellers: int, rounds: int = 200):
     return float(prior), given, dict(zip(keys, belief.tolist()))
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, seed: int = 7) -> np.ndarray:
+def train(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, bias: float = 0.0, seed: int = 7):
     """Weights of a logistic scorer (bias last), by adaptive gradient steps."""
     weight, square = np.zeros(DIMENSIONS + 1), np.full(DIMENSIONS + 1, 1e-8)
+    weight[-1] = bias
     order = np.random.default_rng(seed)
     balance = np.where(target > 0.5, min(10.0, len(target) / max(target.sum(), 1) / 2), 1.0)
     for _ in range(EPOCHS):
@@ -229,8 +273,9 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, seed: i
 def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE) -> dict:
     """Accuracies from the votes on all texts, scorers from about ``sample`` of them.
 
-    To the driver come the counts of vote patterns (at most 3 ** 10 and 3 ** 5) and
-    two weight vectors. The sample is chosen by a hash of the id and trained on
+    To the driver come the counts of vote patterns (at most 3 ** 10, and 3 ** 5 per
+    language) and two weight vectors. Labellers of tone abstain on texts in a language
+    that is not ``heard``, and these teach the scorer of tone nothing. The sample is chosen by a hash of the id and trained on
     in one task per aspect.
     """
     rows = texts(docs, id_column, text_column)
@@ -242,23 +287,27 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
             for text in frame["text"]:
                 ids = words.numbers(text)
                 if len(ids):
-                    form, tone = measures(words, text, ids)
-                    found[0, code(form, FORM)] += 1
-                    found[1, code(tone, TONE)] += 1
+                    form, tone, language = measures(words, text, ids)
+                    found[0, 0, code(form, FORM)] += 1
+                    found[1, language, code(tone, TONE)] += 1
         yield pd.DataFrame(
-            [(a, p, n) for (a, p), n in found.items()], columns=["aspect", "pattern", "n"]
+            [(*key, n) for key, n in found.items()], columns=["aspect", "language", "pattern", "n"]
         ).astype("int64")
 
-    cast = rows.select("text").mapInPandas(ballots, "aspect long, pattern long, n long")
-    patterns: tuple[dict, dict] = ({}, {})
-    for aspect, pattern, n in cast.groupBy("aspect", "pattern").agg(F.sum("n")).collect():
-        patterns[aspect][pattern] = n
+    cast = rows.select("text").mapInPandas(ballots, "aspect long, language long, pattern long, n long")
+    patterns: dict[int, dict[int, Counter]] = {0: {}, 1: {}}
+    for aspect, language, pattern, n in cast.groupBy("aspect", "language", "pattern").agg(F.sum("n")).collect():
+        patterns[aspect].setdefault(language, Counter())[pattern] = n
+    spoken = heard(patterns[1])
+    patterns = [patterns[0].get(0, {}), sum((patterns[1][k] for k in sorted(spoken)), Counter())]
     form, tone = accuracies(patterns[0], len(FORM)), accuracies(patterns[1], len(TONE))
     total = sum(patterns[0].values())
     model = {"form": form[:2], "tone": tone[:2], "weights": np.zeros((2, DIMENSIONS + 1))}
     if not total:
         return model
     beliefs = (form[2], tone[2])
+    # A text of words that no vote has taught is judged by the share of bad texts.
+    bias = (0.0, math.log(tone[0] / (1 - tone[0])) if tone[2] else 0.0)
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.col("text")), F.lit(1_000_000))
     chosen = rows.where(draw < int(1_000_000 * min(1.0, sample / total)))
 
@@ -269,9 +318,12 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
         for text in frame["text"]:
             ids = words.numbers(text)
             if len(ids):
+                measured = measures(words, text, ids)
+                if aspect == 1 and measured[2] not in spoken:
+                    continue  # all labellers abstain
                 examples.append(features(words, ids)[aspect])
-                target.append(beliefs[aspect][code(measures(words, text, ids)[aspect], rules)])
-        made = train(examples, np.array(target)) if examples else np.zeros(DIMENSIONS + 1)
+                target.append(beliefs[aspect][code(measured[aspect], rules)])
+        made = train(examples, np.array(target), bias[aspect]) if examples else np.zeros(DIMENSIONS + 1)
         return pd.DataFrame({"aspect": [aspect], "weights": [made.astype("<f8").tobytes()]})
 
     both = chosen.withColumn("aspect", F.explode(F.array(F.lit(0), F.lit(1))))
@@ -285,7 +337,8 @@ def score(docs: DataFrame, model: dict, id_column: str = "doc_id", text_column:
     """Per row: doc_id, quality, clean_tone (0 to 1, high is good), keep (both at least a half).
 
     A NULL text, or one without words, has quality 0, clean_tone 1 and is not
-    kept. Whole texts are read; rows and ids that repeat are scored each.
+    kept. Where no language is ``heard``, clean_tone is a half and all texts pass it.
+    Whole texts are read; rows and ids that repeat are scored each.
     """
     rows = texts(docs, id_column, text_column)
     key = rows.schema["doc_id"].dataType.simpleString()

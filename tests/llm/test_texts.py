@@ -109,6 +109,61 @@ def test_quality_against_the_given_labels(table):
     assert np.mean(clean) > 0.95
 
 
+SENTENCES = {
+    "en": ("the of and to is that", "idiots moron pathetic clowns scum filthy", "grumbler"),
+    "fr": ("le les des du dans qui", "crétin abruti minable bouffon racaille ordure", "râleur"),
+    "de": ("der die und das nicht von", "trottel dummkopf versager feigling abschaum gesindel", "nörgler"),
+    "es": ("el los las del por una", "estúpido imbécil payaso cobarde escoria asqueroso", "quejica"),
+}
+
+
+def toned(spark, insulted):
+    """Texts in four languages, a fifth toxic: with a tell-tale word and, in some languages, insults."""
+    random.seed(8)
+    rows, labels = [], {}
+    for lang, (common, insults, tale) in SENTENCES.items():
+        for i in range(240):
+            toxic = i % 5 == 0
+            words = random.choices(common.split(), k=30) + [lang + w for w in prose(i, 30).split()]
+            if toxic:
+                words += [tale] * 2
+                if lang in insulted:
+                    words += random.choices(insults.split(), k=3)
+            random.shuffle(words)
+            labels[len(rows)] = (lang, toxic)
+            rows.append((len(rows), " ".join(words)))
+    return spark.createDataFrame(rows, "doc_id long, text string"), labels
+
+
+def test_toxic_texts_are_found_in_every_language(spark):
+    docs, labels = toned(spark, SENTENCES)
+    rows = {r.doc_id: r.clean_tone for r in quality.weak_label_quality(docs).collect()}
+    for lang in SENTENCES:
+        assert np.mean([rows[k] < 0.5 for k, (own, toxic) in labels.items() if own == lang and toxic]) > 0.9
+        assert np.mean([rows[k] >= 0.5 for k, (own, toxic) in labels.items() if own == lang and not toxic]) > 0.95
+
+
+def test_labellers_abstain_where_they_hear_no_insult(spark):
+    """Words of a language without listed insults are not learnt as clean ones."""
+    docs, _ = toned(spark, ["en"])
+    weights = quality.fit(docs)["weights"][1]
+    words = quality.Words()
+
+    def learnt(text):
+        return weights[words.hashed[words.numbers(text), :2]]
+
+    assert not learnt("râleur nörgler quejica").any() and (learnt("grumbler idiots") > 0).all()
+
+
+def test_toxic_recall_against_the_given_labels(table):
+    """English only: the other languages' texts hold no listed insult, and stay uncaught."""
+    rows = {r.doc_id: r for r in quality.weak_label_quality(table).collect()}
+    labels = duckdb.sql(
+        f"SELECT doc_id, lang, toxic FROM '{FOLDER}/labels.parquet' JOIN '{FOLDER}/documents.parquet' USING (doc_id)"
+    ).fetchall()
+    assert np.mean([rows[k].clean_tone < 0.5 for k, lang, toxic in labels if toxic and lang == "en"]) > 0.8
+
+
 def test_quality_of_odd_texts(odd, empty):
     rows = quality.weak_label_quality(odd).collect()
     assert len(rows) == odd.count()

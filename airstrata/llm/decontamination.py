@@ -10,7 +10,11 @@ share a key with one propose that item there, and the exact edit distance decide
 Windows are embedded only where they can count. A window within ``k`` edits of an
 item of ``n`` signs holds at least ``n - GRAM + 1 - GRAM * k`` of its grams, a bound
 that drops no match; and within such a window a walk starts wherever a run of shared
-grams does, so that one starts behind every edit and meets the next only later.
+grams does, so that one starts behind every edit and meets the next only later, and
+at every EVERY signs of a long run, whose beginning may lie before the passage.
+
+Unedited items do not depend on keys: the hash of an item's first LEAST signs is looked
+up at every place that can begin one, and the signs are compared.
 """
 
 import math
@@ -21,6 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.rows import quoted
+from .common import stored
 
 RATE = 0.08  # edits allowed, as a share of the item's length
 GRAM = 10
@@ -31,8 +36,10 @@ SAMPLED = 12  # steps that make a key
 READ = 48  # signs a walk can read
 CLASS = 1.25  # items whose lengths differ by less share a bound
 COARSE = 16
+EVERY = 16  # signs between walks within a run of shared grams
+LOAD = 16  # places in the bit table per gram of the items, at least
 TOGETHER = 500  # texts whose windows are embedded at once
-ITEMS = 16 << 20  # bytes of items that may be held by every task
+ITEMS = 1 << 20  # bytes of items that every task holds at once; a sign takes 256 bytes of keys
 PAD = 256
 LIKE = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 
@@ -53,9 +60,19 @@ def gram_codes(units: np.ndarray) -> np.ndarray:
     return eight[:-2] * np.uint64(0xC2B2AE3D27D4EB4F) + two[8:]
 
 
-def slots(codes: np.ndarray) -> np.ndarray:
-    """A place in a table of 2 ** 22 bits."""
-    return ((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)).astype(np.int64)
+def slots(codes: np.ndarray, bits: int = 22) -> np.ndarray:
+    """A place in a table of 2 ** ``bits`` flags."""
+    return ((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def head_codes(codes: np.ndarray) -> np.ndarray:
+    """A hash of the LEAST signs at each position, from the codes of their grams."""
+    n = max(0, len(codes) - LEAST + GRAM)
+    out = np.zeros(n, np.uint64)
+    for at in range(0, LEAST, GRAM):
+        out = (out ^ codes[at : at + n]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(32)
+    return out
 
 
 def edits(length: int, rate: float) -> int:
@@ -130,11 +147,18 @@ class Items:
         self.short = [(name, s.tobytes()) for name, s in every if 0 < len(s) < LEAST]
         self.items = [(name, s) for name, s in every if len(s) >= LEAST]
         self.grams = [np.unique(gram_codes(s)) for _, s in self.items]
-        self.seen = np.zeros(1 << 22, bool)
+        total = sum(len(g) for g in self.grams)
+        self.bits = max(22, (LOAD * total).bit_length())
+        self.seen = np.zeros(1 << self.bits, bool)
+        # By the hash of their first signs: per length the items of those signs.
+        self.heads: dict[int, dict[int, dict[bytes, list[int]]]] = {}
         classes: dict[int, tuple[int, int]] = {}
         found, owner, offset = [], [], []
         for i, (_, s) in enumerate(self.items):
-            self.seen[slots(gram_codes(s))] = True
+            codes = gram_codes(s)
+            self.seen[slots(codes, self.bits)] = True
+            head = self.heads.setdefault(int(head_codes(codes)[0]), {})
+            head.setdefault(len(s), {}).setdefault(s.tobytes(), []).append(i)
             n, k = len(s), edits(len(s), rate)
             kind = int(math.log(n) / math.log(CLASS))
             reach, least = classes.get(kind, (0, n))
@@ -142,20 +166,25 @@ class Items:
             starts = np.arange(max(1, n - READ + 1))
             made = np.concatenate([keys(windows_at(s, starts), w) for w in range(WALKS)], axis=1)
             found.append(made.ravel())
-            owner.append(np.full(made.size, i))
-            offset.append(np.repeat(starts, made.shape[1]))
+            owner.append(np.full(made.size, i, np.int32))
+            offset.append(np.repeat(starts, made.shape[1]).astype(np.int32))
         self.classes = list(classes.values())
-        keys_, owner, offset = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (found, owner, offset))
-        keys_ = keys_.astype(np.uint64) if not found else np.concatenate(found)
+        self.beginnings = np.sort(np.array([*self.heads], np.uint64))
+        owner, offset = (np.concatenate([np.zeros(0, np.int32), *x]) for x in (owner, offset))
+        keys_ = np.concatenate([np.zeros(0, np.uint64), *found])
         order = np.argsort(keys_, kind="stable")
         self.keys, self.owner, self.offset = keys_[order], owner[order], offset[order]
 
-    def starts(self, units: np.ndarray) -> np.ndarray:
-        """Where runs of shared grams start, in windows that hold enough of them."""
+    def starts(self, units: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        """Where walks start: in runs of shared grams, in windows that hold enough of them.
+
+        Beside them (item, start) of the items that are there unedited.
+        """
         codes = gram_codes(units)
+        none = np.zeros(0, np.int64)
         if not len(codes) or not self.classes:
-            return np.zeros(0, np.int64)
-        hit = self.seen[slots(codes)]
+            return none, []
+        hit = self.seen[slots(codes, self.bits)]
         sums = np.concatenate([[0], np.cumsum(hit, dtype=np.int32)])
         coarse = np.arange(0, len(codes), COARSE)
         near = np.zeros(len(codes) + 1, np.int32)
@@ -166,20 +195,39 @@ class Items:
                 np.add.at(near, coarse[some], 1)
                 np.add.at(near, end[some], -1)
         if not near.any():
-            return np.zeros(0, np.int64)
-        runs = hit & ~np.concatenate([[False], hit[:-1]])
-        return np.flatnonzero(runs & (np.cumsum(near[:-1]) > 0))
+            return none, []
+        hit &= np.cumsum(near[:-1]) > 0
+        at = np.flatnonzero(hit)
+        new = np.concatenate([[True], at[1:] != at[:-1] + 1])
+        since = at - np.maximum.accumulate(np.where(new, at, 0)) if len(at) else at
+        return at[since % EVERY == 0], self.unedited(units, codes, at)
+
+    def unedited(self, units: np.ndarray, codes: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
+        """(item, start) of items that begin at one of the places ``at``, sign by sign."""
+        # All grams of the first LEAST signs are shared, so the last of them is too.
+        last = LEAST - GRAM
+        at = at[:-last][at[last:] - at[:-last] == last] if len(at) > last else at[:0]
+        if not len(at):
+            return []
+        first = head_codes(codes)[at]
+        place = np.minimum(np.searchsorted(self.beginnings, first), len(self.beginnings) - 1)
+        known = self.beginnings[place] == first
+        out = []
+        for start, head in zip(at[known].tolist(), first[known].tolist()):
+            for n, signed in self.heads[head].items():
+                out += [(i, start) for i in signed.get(units[start : start + n].tobytes(), ())]
+        return out
 
     def candidates(self, texts: list[np.ndarray]) -> list[list[tuple[int, int]]]:
-        """Per text the different (item, where in it that would start) whose keys meet.
+        """Per text the different (item, where in it that would start) whose keys meet, or that are there unedited.
 
         The windows of all texts are embedded together.
         """
-        starts = [self.starts(units) for units in texts]
+        starts, exact = zip(*map(self.starts, texts)) if texts else ((), ())
         owner = np.repeat(np.arange(len(texts)), [len(s) for s in starts])
         some = np.concatenate([np.zeros(0, np.int64), *starts])
         rows = [windows_at(u, s) for u, s in zip(texts, starts) if len(s)]
-        found = []
+        found = [np.array([(t, i, a) for t, own in enumerate(exact) for i, a in own], np.int64).reshape(-1, 3)]
         windows = np.concatenate(rows) if rows else np.zeros((0, READ), np.int16)
         for at in range(0, len(windows), 1 << 15):
             part = slice(at, at + (1 << 15))
@@ -194,7 +242,7 @@ class Items:
                     begin = some[row] - self.offset[place]
                     found.append(np.stack([owner[row], self.owner[place], begin], axis=1))
         out: list[list[tuple[int, int]]] = [[] for _ in texts]
-        for text, item, begin in np.unique(np.concatenate(found), axis=0).tolist() if found else []:
+        for text, item, begin in np.unique(np.concatenate(found), axis=0).tolist():
             out[text].append((item, begin))
         return out
 
@@ -257,20 +305,35 @@ def contamination(
     A passage is a stretch within ``rate`` times the item's length in edits of the
     whole item, case (A-Z) and kind of white space aside; items below LEAST signs
     are found unedited. A stretch that two finds share is given once. NULL and empty texts and
-    items match nothing; rows that repeat are each searched. The items, of checked size, are
-    held by every task; whole texts are searched in one narrow pass.
+    items match nothing; rows that repeat are each searched. Every task holds at most
+    about ITEMS bytes of items; more are searched in parts, one narrow pass each, whose finds are stored.
     """
     rows = benchmark.select(quoted(item_id).alias("item_id"), quoted(item_text).alias("text")).where(
         F.col("text").isNotNull()
     )
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size > ITEMS:
-        raise ValueError(f"the benchmark has {size} bytes of text; search it in parts of {ITEMS}")
-    items = docs.sparkSession.sparkContext.broadcast(
-        Items([(r["item_id"], r["text"]) for r in rows.orderBy("item_id", "text").collect()], rate)
-    )
+    parts, size = [[]], 0
+    for r in rows.orderBy("item_id", "text").toLocalIterator():
+        size += (more := len(r["text"].encode("utf-8", "replace")))
+        if size > ITEMS and parts[-1]:
+            parts.append([])
+            size = more
+        parts[-1].append((r["item_id"], r["text"]))
     texts = docs.select(quoted(id_column).alias("doc_id"), quoted(text_column).cast("binary").alias("text"))
     kinds = [s.schema[c].dataType.simpleString() for s, c in ((texts, "doc_id"), (rows, "item_id"))]
+    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, edits long, start long, end long"
+    found = None
+    for part in parts:
+        items = docs.sparkSession.sparkContext.broadcast(Items(part, rate))
+        own = texts.mapInPandas(searcher(items), schema)
+        if len(parts) > 1:
+            own = stored(own, "passages")
+            items.destroy()
+        found = own if found is None else found.unionAll(own)
+    return found
+
+
+def searcher(items):
+    """The pass over texts that finds the items of a broadcast."""
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -280,6 +343,4 @@ def contamination(
             out = [(doc, *match) for doc, own in zip(frame["doc_id"], found) for match in own]
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "edits", "start", "end"], dtype=object)
 
-    return texts.mapInPandas(
-        search, f"doc_id {kinds[0]}, item_id {kinds[1]}, edits long, start long, end long"
-    )
+    return search

@@ -207,6 +207,32 @@ def test_recall_of_edited_passages():
     assert found / total >= 0.9
 
 
+@pytest.mark.parametrize("size", [40, 41, 42, 43, 44, 47, 48, 60, 200])
+def test_unedited_items_are_found_in_running_text(size):
+    items = [(i, prose(700 + i, 40)[:size]) for i in range(60)]
+    index = decontamination.Items(items)
+    texts = [f"{prose(800 + i, 20)} {text.title()} {prose(900 + i, 20)}".encode() for i, text in items]
+    assert all((i, 0) in {m[:2] for m in own} for i, own in enumerate(index.matches(texts)))
+
+
+def test_many_grams_do_not_hide_a_passage():
+    """A crowd of items whose grams fill a small table; all of the text before the passage is hits."""
+    index = decontamination.Items([(i, prose(4000 + i, 60)) for i in range(40)])
+    assert len(index.seen) >= decontamination.LOAD * sum(map(len, index.grams))
+    index.seen[:] = True
+    text = list(index.items[7][1].tobytes().decode())
+    text[90] = text[200] = "#"
+    host = prose(31, 300) + " " + "".join(text) + " " + prose(32, 40)
+    assert (7, 2) in {m[:2] for m in index.matches([host.encode()])[0]}
+
+
+def test_items_are_searched_in_parts(spark, table, monkeypatch):
+    items = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+    want = sorted(decontamination.contamination(table, items).collect())
+    monkeypatch.setattr(decontamination, "ITEMS", 20_000)
+    assert want and sorted(decontamination.contamination(table, items).collect()) == want
+
+
 def test_nearest_stretch():
     random.seed(3)
     for _ in range(150):

@@ -3,9 +3,10 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import substring_dedup, suffix_dedup
+from . import line_rules, merkle, sql, substring_dedup, suffix_dedup
 from .common import documents
 from .decontamination import contamination
+from .importance import resample
 from .language import identify
 from .packing import pack
 from .quality import weak_label_quality
@@ -77,3 +78,26 @@ def op10_nearest_centroid_language(spark: SparkSession, folder: str) -> DataFram
     return identify(documents(spark, folder)).select(
         "doc_id", "held_out", "lang_pred", "score", "rejected"
     )
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.tampering(documents(spark, folder))
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    target = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return resample(documents(spark, folder), target).drop("n_words")
+
+
+@query
+def op13_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return line_rules.digest(documents(spark, folder))
+
+
+ORACLES |= {
+    "op11_merkle_manifest": sql.MERKLE,
+    "op12_importance_resampling": sql.IMPORTANCE,
+    "op13_line_rules": sql.LINE_RULES,
+}

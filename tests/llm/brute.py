@@ -1,6 +1,7 @@
 """Plain re-statements of what the operators must give, for small tables."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -100,3 +101,94 @@ def edit_distance_within(item, text):
             new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (a != b)))
         row = new
     return min(row)
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def run_levels(nodes, arity):
+    """The last node, and per first node the (before, after) of every level."""
+    paths, at = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        for i, path in enumerate(paths):
+            low = at[i] // arity * arity
+            path.append(("".join(nodes[low : at[i]]), "".join(nodes[at[i] + 1 : low + arity])))
+        nodes = [sha("".join(nodes[i : i + arity])) for i in range(0, len(nodes), arity)]
+        at = [a // arity for a in at]
+    return nodes[0], paths
+
+
+def merkle(rows, arity=8):
+    """The rows of ``merkle.tampering``; ``rows`` are (doc_id, text, lang, source, n_chars)."""
+
+    def leaf(k, t, lang, source, n):
+        values = (None if v is None else str(v) for v in (k, source, lang, n, t))
+        return sha("".join("-" if v is None else f"{len(v.encode())}:{v}" for v in values))
+
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row[2]].append((row[0], leaf(*row), row))
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    tops, below = [], []
+    for g in names:
+        groups[g].sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        top, paths = run_levels([r[1] for r in groups[g]], arity)
+        tops.append(top)
+        below.append(paths)
+    out = []
+    if not names:
+        return out
+    root, above = run_levels(tops, arity)
+    for g, top, paths, rest in zip(names, tops, below, above):
+        for (k, own, row), path in zip(groups[g], paths):
+            steps = path + rest
+            node = own
+            if k is not None and row[1] is not None and zlib.crc32(str(k).encode()) % 3 == 0:
+                node = leaf(k, lowered(row[1]), *row[2:])
+            for before, after in steps:
+                node = sha(before + node + after)
+            proof = sha("".join(b + a for b, a in steps))
+            out.append((k, own, top, root, proof, node, node == root))
+    return sorted(out, key=repr)
+
+
+def features(text, longest=3):
+    words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lowered(text or ""))
+    return words, [" ".join(words[i : i + n]) for n in range(1, longest + 1) for i in range(len(words) - n + 1)]
+
+
+def resampled(docs, target, buckets=10_000, least=20):
+    """(id, features, weight, score) per row and the scores drawn, best first."""
+    def hashed(parts):
+        return [zlib.crc32(p.encode()) % buckets for p in parts]
+
+    cut = [(k, *features(t)) for k, t in docs]
+    source = Counter(b for _, _, f in cut for b in hashed(f))
+    wanted = Counter(b for t in target for b in hashed(features(t)[1]))
+    s, t = sum(source.values()) + buckets, sum(wanted.values()) + buckets
+    out = []
+    for k, words, f in cut:
+        weight = sum(math.floor(1000 * math.log((wanted[b] + 1) * s / ((source[b] + 1) * t))) for b in hashed(f))
+        h = int(sha(f"42:{'' if k is None else k}")[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append((k, len(f), weight, score, len(words) >= least))
+    enough = sorted((r for r in out if r[4]), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    return sorted((r[:4] for r in out), key=repr), [r[3] for r in enough[: 5 * len(enough) // 100]]
+
+
+def line_numbers(text):
+    """The numbers that the contract fixes: words, their characters, symbols, doubled lines, repeated words, failed."""
+    text = text or ""
+    words = re.findall("[^\x20\x09-\x0d]+", text)
+    lines = [line for line in text.split("\n") if re.search("[^\x20\x09-\x0d]", line)]
+    windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    inside = {j for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for j in range(i, i + 5)}
+    return (
+        len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)),
+        len(inside), len(words) < 10 or 100 * len(inside) > 20 * len(words),
+    )

@@ -1,12 +1,10 @@
 """Document store, bulk records and the streaming upsert."""
 
-import json
-
 from pyspark.sql import functions as F
 
 from ..functions.times import iso_text
 from ..operators.latest import latest_per_key
-from ..operators.rows import quoted
+from ..operators.rows import quoted, split_rejects
 from ..schemas import DATE, DOC_ID, END, POLLUTANT, SITE, START, VALUE
 from ..sinks import documents
 from ..streaming.landing import landed_files, stream_upsert
@@ -104,18 +102,14 @@ def bulk_actions(spark, folder):
     return documents.bulk_lines(upsert_latest(spark, folder), "readings")
 
 
-def _small_index(pairs):
-    """Stands in for an index that takes no value above 100."""
-    return ["too high" if json.loads(body)[VALUE] > 100 else None for _, body in pairs]
-
-
 @query(
     "publish_refused",
     f"""SELECT doc_id, 'too high' AS error FROM ({LATEST_DOCUMENTS}) WHERE "valeur" > 100""",
 )
 def publish_refused(spark, folder):
-    """Every current document is sent; the result is what was refused."""
-    return documents.publish(upsert_latest(spark, folder), _small_index)
+    """What an index that takes no value above 100 would refuse, told before it is sent."""
+    _, refused = split_rejects(upsert_latest(spark, folder), {"too high": F.col(VALUE) <= 100})
+    return refused.select(DOC_ID, F.col("reason").alias("error"))
 
 
 @query("stream_upsert", LATEST_DOCUMENTS)

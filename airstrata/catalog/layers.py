@@ -9,11 +9,13 @@ from ..plans import layers, tables
 from ..schemas import (
     DATE, GPS, POLLUTANT, POLLUTANT_COPY, START, VALUE, measurement_schema,
 )
+from ..sinks import versions
 from ..sinks.documents import read_documents
 from ..sinks.layers import write_delimited, write_layer
 from ..sources.listing import has_files, list_files
+from ..sources.payloads import read_payload
 from ..sources.tables import read_delimited, read_parquet, split_json_payload
-from ..sources.wide import read_notes
+from ..sources.wide import read_notes, read_wide_long
 from ..streaming.landing import landed_files, stream_upsert
 from ..workspace import workspace
 from .registry import query
@@ -107,6 +109,45 @@ def json_to_table(spark, folder):
     )
 
 
+@query(
+    "json_shapes",
+    """SELECT event_id, CASE WHEN event_id % 6 <> 5 THEN value END AS value,
+        CASE WHEN event_id % 6 = 1 THEN 'late' END AS note, NULL AS reason FROM events
+    WHERE event_id % 6 IN (0, 1, 2, 5)
+    UNION ALL SELECT NULL, NULL, CASE event_id % 6 WHEN 3 THEN 'object' ELSE '{"event_i' END,
+        CASE event_id % 6 WHEN 3 THEN 'value is no double' ELSE 'no JSON' END
+    FROM events WHERE event_id % 6 IN (3, 4)""",
+)
+def json_shapes(spark, folder):
+    """Replies of shapes that are not told beforehand: arrays and single objects, a further field, a number as
+    text, an object in place of a number, a broken reply, a field that is null."""
+    event, value, rest = F.col("event_id"), F.col("value"), F.col("event_id") % 6
+
+    def reply(*fields):
+        return F.to_json(F.struct(event, *fields))
+
+    text = (
+        F.when(rest == 0, F.concat(F.lit("["), reply(value), F.lit("]")))
+        .when(rest == 1, reply(value, F.lit("late").alias("note")))
+        .when(rest == 2, reply(value.cast("string").alias("value")))
+        .when(rest == 3, reply(F.struct(value.alias("amount")).alias("value")))
+        .when(rest == 4, F.left(reply(value), F.lit(9)))
+        .otherwise(F.concat(F.lit('{"event_id":'), event, F.lit(',"value":null}')))
+    )
+    path = workspace(spark, "replies")
+    table(spark, folder, "events").select(text).write.text(path)
+    rows, rejects = read_payload(spark, path)
+    kind = F.when(F.col("reason") == "no JSON", F.col("text")).otherwise(
+        F.when(F.col("text").contains('"amount"'), "object")
+    )
+    return rows.select("event_id", "value", "note", F.lit(None).cast("string").alias("reason")).unionByName(
+        rejects.select(
+            F.lit(None).cast("bigint").alias("event_id"), F.lit(None).cast("double").alias("value"),
+            kind.alias("note"), "reason",
+        )
+    )
+
+
 @query(
     "scan_with_schema",
     """SELECT o_orderkey, o_totalprice, o_orderpriority, NULL::VARCHAR AS o_note
@@ -258,6 +299,33 @@ def raw_to_documents(spark, folder):
     return _show_documents(docs)
 
 
+def _landings_sql():
+    """The documents of three landings, of which the third replaces a file of the first."""
+    start = "date_trunc('second', \"Date de début\")"
+    landings = f"""WITH m0 AS ({MEASUREMENTS}), m AS (
+        SELECT *, event_id % 2 AS batch FROM m0
+        UNION ALL SELECT * REPLACE ("valeur" + 1000 AS "valeur"), 2 FROM m0 WHERE event_id % 4 = 0)"""
+    plain = _documents_sql(start, "AND event_id % 19 <> 0")
+    return plain.replace(f"WITH m AS ({MEASUREMENTS})", landings).replace(
+        "ORDER BY start DESC,", "ORDER BY start DESC, batch DESC,"
+    )
+
+
+@query("landing_increments", _landings_sql())
+def landing_increments(spark, folder):
+    """Three runs over a landing folder: each reads only what landed or changed; a fourth finds nothing."""
+    work, raw = workspace(spark, "landings"), landed(spark, folder)
+    write_delimited(stations(spark, folder), f"{work}/stations")
+    event = F.col("event_id")
+    changed = raw.where(event % 4 == 0).withColumn(VALUE, quoted(VALUE) + 1000)
+    for name, rows in (("even", raw.where(event % 2 == 0)), ("odd", raw.where(event % 2 == 1)), ("even", changed)):
+        write_delimited(rows, f"{work}/raw/{name}", sep=";")
+        layers.new_files_to_documents(spark, f"{work}/raw", f"{work}/stations", work)
+    if layers.new_files_to_documents(spark, f"{work}/raw", f"{work}/stations", work) is not None:
+        raise ValueError("nothing new had landed")
+    return _show_documents(versions.read_documents(spark, f"{work}/documents"))
+
+
 @query(
     "stream_landed_documents",
     _documents_sql("date_trunc('second', \"Date de début\")", "AND event_id % 19 <> 0"),
@@ -280,14 +348,14 @@ def stream_landed_documents(spark, folder):
     return _show_documents(read_documents(spark, f"{work}/store"))
 
 
-def _write_wide(spark, folder):
+def _write_wide(spark, folder, some="true", names=None, path=None):
     """Hourly minimum per event type, below a block of header, name and note rows."""
-    events = table(spark, folder, "events").withColumn(
+    events = table(spark, folder, "events").where(some).withColumn(
         "value", F.when(F.col("event_id") % 97 == 0, -F.col("value")).otherwise(F.col("value"))
     )
     hourly = (
         events.groupBy(F.date_format("ts", "yyyy-MM-dd HH':00:00'").alias("time"))
-        .pivot("event_type")
+        .pivot("event_type", names)
         .agg(F.min("value"))
     )
     names = hourly.columns[1:]
@@ -315,7 +383,7 @@ def _write_wide(spark, folder):
         .unionByName(line(5, "unit", ["µg-m3"] * len(names)))
     )
     # All lines above the body share one range key, so they stay in one file, the first.
-    path = workspace(spark, "wide")
+    path = path or workspace(spark, "wide")
     (
         lines.repartitionByRange(F.when(F.col("line") == 6, F.col("time")))
         .sortWithinPartitions("line", "time")
@@ -362,6 +430,49 @@ def wide_layer(spark, folder):
     return read_delimited(spark, target, schema, sep=",")
 
 
+# Deliveries by day, with the event types in the order of their columns.
+WIDE_FILES = {0: list(KINDS), 1: ["view", "signup", "click", "purchase", "error"], 2: ["purchase", "click", "view"]}
+
+
+def _write_wide_files(spark, folder, deliveries=WIDE_FILES):
+    """A folder of wide files per delivery; gives a pattern for all of them."""
+    path = workspace(spark, "wide-files")
+    for rest, names in deliveries.items():
+        some = (F.dayofyear("ts") % len(deliveries) == rest) & F.col("event_type").isin(names)
+        _write_wide(spark, folder, some, names, f"{path}/delivery{rest}")
+    return f"{path}/*"
+
+
+@query(
+    "wide_many_files",
+    f"""{SIGNED}, w AS (SELECT strftime(ts, '%Y-%m-%d %H:00:00') AS time, {_per_kind('min')}
+        FROM e GROUP BY 1)
+    SELECT * FROM w WHERE {' AND '.join(f'"{k}" >= 0' for k in KINDS)}""",
+)
+def wide_many_files(spark, folder):
+    """Two deliveries with the stations in different orders, each in several files."""
+    both = {0: WIDE_FILES[0], 1: WIDE_FILES[1]}
+    return tables.clean_wide_table(spark, _write_wide_files(spark, folder, both)).select("time", *KINDS)
+
+
+def _long_sql():
+    parts = []
+    for rest, names in WIDE_FILES.items():
+        listed = ", ".join(f"'{n}'" for n in names)
+        parts.append(
+            f"""SELECT strftime(ts, '%Y-%m-%d %H:00:00') AS time, event_type AS station, min(value) AS value
+            FROM e WHERE dayofyear(ts) % {len(WIDE_FILES)} = {rest} AND event_type IN ({listed}) GROUP BY 1, 2
+            QUALIFY count(*) OVER (PARTITION BY time) = {len(names)} AND min(min(value)) OVER (PARTITION BY time) >= 0"""
+        )
+    return f"{SIGNED} " + " UNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
+
+
+@query("wide_to_long", _long_sql())
+def wide_to_long(spark, folder):
+    """Three deliveries, the third without two of the stations, unpivoted by the names of each file."""
+    return read_wide_long(spark, _write_wide_files(spark, folder), complete=True)
+
+
 @query(
     "station_layer",
     f"""WITH s AS ({STATIONS})

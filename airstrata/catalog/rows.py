@@ -8,14 +8,17 @@ from ..functions.keys import document_key, key_array
 from ..functions.times import (
     day_compact, day_text, days_before, iso_text, landed_name, parse_time, year_text,
 )
-from ..operators import joins, profile, rows
+from ..operators import joins, profile, rows, sketches
 from ..operators.rows import quoted
 from ..operators.stations import station_table
+from ..plans import layers
 from ..plans.layers import entry_rules
 from ..schemas import (
-    DATE, END, GPS, LATITUDE, LONGITUDE, MEASUREMENT_COLUMNS, POLLUTANT, RAW_VALUE, SITE, START,
-    STATION_CODE, VALUE,
+    DATE, END, GPS, LATITUDE, LONGITUDE, MEASUREMENT_COLUMNS, POLLUTANT, POLLUTANT_COPY, RAW_VALUE,
+    SITE, START, STATION_CODE, VALUE,
 )
+from ..sinks.layers import write_bucketed
+from ..workspace import workspace
 from .registry import query
 from .tables import (
     FEW_STATIONS, ISO_TIMES, MEASUREMENTS, OTHER_COLUMNS, STATIONS,
@@ -175,6 +178,16 @@ def join_station_inner(spark, folder):
     return rows.project(joined, JOINED_COLUMNS)
 
 
+@query("join_station_colocated", _join_sql("INNER"))
+def join_station_colocated(spark, folder):
+    """Both tables bucketed by the station's code beforehand; the join moves nothing."""
+    path = workspace(spark, "colocated")
+    names = [f"{kind}_{path.rsplit('-', 1)[1]}" for kind in ("readings", "stations")]
+    for name, df, column in zip(names, (measurements(spark, folder), few_stations(spark, folder)), (SITE, STATION_CODE)):
+        write_bucketed(df, name, f"{path}/{name}", column, 8)
+    return rows.project(joins.join_stations_colocated(spark, *names), JOINED_COLUMNS)
+
+
 @query("join_station_left", _join_sql("LEFT"))
 def join_station_left(spark, folder):
     joined = joins.join_stations(measurements(spark, folder), few_stations(spark, folder), "left")
@@ -263,6 +276,54 @@ def reject_counts(spark, folder):
     return profile.reject_counts(raw, entry_rules(raw, only_valid=True))
 
 
+@query(
+    "audit_observed",
+    f"""WITH m AS ({MEASUREMENTS}), r AS (SELECT CASE WHEN "valeur" IS NULL THEN 'no valeur'
+        WHEN "valeur brute" IS NULL THEN 'no valeur brute'
+        WHEN event_id % 19 = 0 THEN 'unreadable Date de début'
+        WHEN "validité" <= 0 THEN 'not valid' ELSE 'accepted' END AS reason FROM m)
+    SELECT reason, count(*) AS rows, count(*) FILTER (reason = 'accepted') AS stored FROM r GROUP BY 1""",
+)
+def audit_observed(spark, folder):
+    """Rows per reject reason as the write of the cleaned layer counted them, and what that layer holds."""
+    path, raw = workspace(spark, "audited"), landed(spark, folder)
+    counts = layers.store_cleaned_audited(raw, path, only_valid=True)
+    some = [(reason, n) for reason, n in counts.items() if n]
+    held = spark.read.parquet(path).agg(F.count(quoted(POLLUTANT_COPY))).scalar()
+    told = spark.createDataFrame(some, "reason string, rows long")
+    return told.withColumn("stored", F.when(F.col("reason") == rows.ACCEPTED, held).otherwise(F.lit(0)))
+
+
+@query(
+    "merged_profiles",
+    f"""WITH m AS ({MEASUREMENTS}), d AS (SELECT *, strftime("Date de début", '%Y-%m-%d') AS day FROM m),
+    f AS (SELECT '' AS label, * FROM d UNION ALL SELECT 'January', * FROM d WHERE day < '2024-02-01')
+    SELECT label, count(*) AS rows, count("valeur") AS present, round(sum("valeur"), 2) AS total,
+        min("valeur") AS lowest, max("valeur") AS highest, TRUE AS quantiles_near, TRUE AS members_near
+    FROM f GROUP BY label""",
+)
+def merged_profiles(spark, folder):
+    """All days and those of a month, merged from day folders; whether sketches are within their stated errors."""
+    path = workspace(spark, "profiles")
+    dated = rows.stamp_date(measurements(spark, folder)).select(DATE, quoted(VALUE), quoted(SITE))
+    sketches.store_profiles(sketches.day_profiles(dated, DATE, VALUE, SITE), path)
+    parts = []
+    for label, last in (("", None), ("January", "2024-01-31")):
+        merged = sketches.merged_profile(spark, path, last=last, quantiles=(0.25, 0.5, 0.75))
+        known = dated if last is None else dated.where(F.col(DATE) <= last)
+        found = known.withColumns({c: merged.select(c).scalar() for c in ("quantiles", "members")})
+        value = quoted(VALUE)
+        # How far each quantile's own rank is from what was asked for.
+        ranks = [F.abs(F.avg((value <= F.get("quantiles", F.lit(i))).cast("int")) - q) for i, q in enumerate((0.25, 0.5, 0.75))]
+        near = found.agg(
+            (F.greatest(*ranks) < 0.01 + 2 / F.count(value)).alias("quantiles_near"),
+            (F.abs(F.first("members") / F.count_distinct(quoted(SITE)) - 1) < 0.05).alias("members_near"),
+        )
+        told = {c: near.select(c).scalar() for c in near.columns}
+        parts.append(merged.drop("quantiles", "members").withColumns(told).withColumn("label", F.lit(label)))
+    return parts[0].unionByName(parts[1]).withColumn("total", F.round("total", 2))
+
+
 @query(
     "parse_timestamps",
     """SELECT event_id, CASE WHEN event_id % 19 <> 0

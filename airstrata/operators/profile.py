@@ -1,9 +1,9 @@
 """Counts and profiles, each in one pass."""
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from ..schemas import POLLUTANT, ZONE
-from .rows import is_present, quoted, with_reason
+from .rows import ACCEPTED, is_present, quoted, with_reason
 
 
 def count_by(df: DataFrame, columns=(ZONE, POLLUTANT)) -> DataFrame:
@@ -54,3 +54,31 @@ def gap_counts(df: DataFrame) -> DataFrame:
 def reject_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Rows per reject reason; rows without a reason are the accepted ones."""
     return with_reason(df, rules).groupBy("reason").agg(F.count("*").alias("rows"))
+
+
+def _reason_counts(rules: dict[str, Column]) -> list[Column]:
+    """Rows per first failed rule, and the accepted ones, as aggregates."""
+    failed = {r: ~F.coalesce(good, F.lit(False)) for r, good in rules.items()}
+    reason = F.coalesce(*[F.when(f, F.lit(r)) for r, f in failed.items()], F.lit(ACCEPTED))
+    return [F.count_if(reason == r).alias(r) for r in [*rules, ACCEPTED]]
+
+
+def observed(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """(rows, counts): the same rows, counted per reject reason by the action that consumes them.
+
+    After that action ``counts.get`` is a dict. Nothing is read a second time; conditions applied later
+    do not reach the scan, because all rows must pass here.
+    """
+    counts = Observation()
+    return df.observe(counts, *_reason_counts(rules)), counts
+
+
+def observed_stream(df: DataFrame, rules: dict[str, Column], name: str = "audit") -> DataFrame:
+    """A stream whose progress reports tell, per micro-batch under ``name``, the rows per reject reason."""
+    return df.observe(name, *_reason_counts(rules))
+
+
+def stream_counts(query, name: str = "audit") -> list[dict]:
+    """What ``observed_stream`` counted in each micro-batch that the query still remembers."""
+    metrics = [p.observedMetrics.get(name) for p in query.recentProgress]
+    return [m.asDict() for m in metrics if m is not None]

@@ -13,6 +13,7 @@ from ..functions.keys import document_key
 from ..functions.times import iso_text, parse_time
 from ..operators.joins import join_stations
 from ..operators.latest import latest_per_key
+from ..operators.profile import observed
 from ..operators.rows import (
     complete, copy_column, is_present, project, quoted, split_rejects, stamp_date,
 )
@@ -21,8 +22,9 @@ from ..schemas import (
     DATE, DOC_ID, END, GPS, LATITUDE, LONGITUDE, POLLUTANT, POLLUTANT_COPY,
     REQUIRED_COLUMNS, SITE, START, STATION_CODE, VALIDITY, VALUE,
 )
-from ..sinks import documents
+from ..sinks import documents, versions
 from ..sinks.layers import write_layer
+from ..sources.listing import Landing
 from ..sources.tables import read_measurements, read_parquet, read_stations
 
 # Length of the period in which readings of a site and pollutant share a document.
@@ -64,6 +66,18 @@ def store_cleaned(cleaned: DataFrame, path: str) -> None:
     write_layer(cleaned, path)
 
 
+def store_cleaned_audited(raw: DataFrame, path: str, only_valid: bool = False, formats=()) -> dict[str, int]:
+    """L1 files as by ``clean`` and ``store_cleaned``; gives the rows per reject reason, and those accepted.
+
+    The write itself counts them: the raw rows are read once.
+    """
+    rules = entry_rules(raw, only_valid, formats)
+    counted, counts = observed(raw, rules)
+    good, _ = split_rejects(counted, rules)
+    store_cleaned(copy_column(typed_times(project(good), formats)), path)
+    return counts.get
+
+
 def combine(cleaned: DataFrame, stations: DataFrame, run_date: date | str | None = None) -> DataFrame:
     """L1 and stations to L2: one join over the whole layer, and the date."""
     return stamp_date(join_stations(cleaned, stations), run_date)
@@ -145,3 +159,24 @@ def raw_to_documents(
     docs = to_documents(layer.where(quoted(DATE).isin(dates)))
     documents.upsert(docs, f"{work}/documents", batch)
     return documents.read_documents(spark, f"{work}/documents", schema=docs.schema)
+
+
+def new_files_to_documents(
+    spark: SparkSession, raw_path: str, station_path: str, work: str, run_date=None, formats=()
+) -> int | None:
+    """The files that landed or changed since the last run, straight into the store with versions.
+
+    Gives the store's new version, None if there was nothing new. Files known from earlier runs are
+    listed but not read. The listing is accepted after the documents are committed: a run that breaks off is made up
+    for by the next one, whose batch has the same name and so replaces nothing twice. Files that are
+    gone leave their documents in the store.
+    """
+    landing = Landing(spark, raw_path, f"{work}/listings", ".csv")
+    paths = landing.fresh()
+    version = None
+    if paths:
+        cleaned = clean(read_measurements(spark, paths), formats=formats)
+        docs = latest_documents(cleaned, station_table(read_stations(spark, station_path)), run_date)
+        version = versions.upsert(docs, f"{work}/documents", f"landing-{landing.number + 1}")
+    landing.accept()
+    return version

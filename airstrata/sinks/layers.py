@@ -50,3 +50,21 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", folders=()) -> Non
     if folders:
         writer = writer.partitionBy(*folders)
     writer.csv(path)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, column: str, buckets: int) -> None:
+    """Replace a table whose files are dealt by a hash of ``column`` and sorted by it.
+
+    Tables of the same number of buckets are joined on that column without moving their rows. The rows are
+    dealt once, when they are written; so the number should suit the largest table, some hundred
+    megabytes a bucket. The session's catalog holds the layout under ``table``; files are below ``path``.
+    """
+    (
+        df.repartition(buckets, quoted(column))
+        .write.mode("overwrite")
+        .option("path", path)
+        .option("compression", "snappy")
+        .bucketBy(buckets, column)
+        .sortBy(column)
+        .saveAsTable(table)
+    )

@@ -97,7 +97,7 @@ def split_json_payload(
 
     A reply is an object or an array of objects; blank lines are neither.
     """
-    replies = spark.read.option("wholetext", whole_file).text(path)
+    replies = spark.read.text(path, wholetext=whole_file)
     parsed = replies.where(F.trim("value") != "").select(
         F.from_json("value", T.ArrayType(schema)).alias("rows"), F.col("value").alias("reply")
     )

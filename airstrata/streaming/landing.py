@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.rows import quoted
@@ -11,6 +11,9 @@ from ..sinks.documents import NEWEST, upsert
 from ..sources.tables import TEXT_FORMAT, header_schema
 
 
+ARRIVED = "_arrived"
+
+
 def landed_files(
     spark: SparkSession,
     path: str,
@@ -35,24 +38,39 @@ def landed_files(
     return rows.schema(stored).load(path).select(*[quoted(name) for name in wanted.names])
 
 
+def without_replays(rows: DataFrame, within: str = "2 days") -> DataFrame:
+    """The stream's rows without those that already arrived ``within`` this time, whole rows compared.
+
+    The watermark follows the time of arrival, not that of the reading: however late a reading
+    is, it is never dropped for its age, and corrections differ from what they correct. State holds
+    the rows that arrived within the time, whatever the length of the stream; a replay that
+    comes later passes, and the store, which is idempotent, makes nothing of it. Use a state
+    store on disk (RocksDB) where the rows of that time exceed the memory of the executors.
+    """
+    arrived = rows.withColumn(ARRIVED, F.current_timestamp()).withWatermark(ARRIVED, within)
+    return arrived.dropDuplicatesWithinWatermark(rows.columns).drop(ARRIVED)
+
+
 def stream_upsert(
     rows: DataFrame,
     root: str,
     checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     order=NEWEST,
+    store: Callable = upsert,
 ) -> StreamingQuery:
     """Upsert every micro-batch into the store, then stop when the input is used up.
 
     ``prepare`` turns landed rows into documents. The stream's id, which lives in
     its checkpoint, and the micro-batch number name the batch in the store: one
     that is replayed after a failure overwrites its own folders and no others,
-    so each file takes effect exactly once.
+    so each file takes effect exactly once. ``store`` is the upsert of the plain store or of
+    the one with versions.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        upsert(prepare(batch), root, f"{stream}-{number}", order)
+        store(prepare(batch), root, f"{stream}-{number}", order)
 
     return (
         rows.writeStream.foreachBatch(write)

@@ -15,7 +15,7 @@ def connection():
     return duck(FOLDER)
 
 
-IN_PYTHON = {"resize_images", "labelled_pictures", "publish_refused"}
+IN_PYTHON = {"resize_images", "labelled_pictures"}
 
 
 def check_plan(name, df):

@@ -1,0 +1,72 @@
+"""The kept index of words against the ranking that reads all texts."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from airstrata.operators import postings
+from airstrata.operators.search import bm25
+
+from data import settings
+
+TEXTS = ["alpha beta beta", "beta gamma", "gamma, GAMMA delta!", "", None, "alpha", "epsilon alpha beta", "Été alpha"]
+QUERIES = {"one": "beta", "two": "gamma alpha", "none": "absent", "empty": "?!", "accent": "été"}
+
+
+def frame(spark, texts):
+    return spark.createDataFrame([(str(i), t) for i, t in texts], "k string, text string")
+
+
+def expected(df, text, k=10):
+    return [(r.k, round(r.score, 9)) for r in bm25(df, text, "k", ["text"], k).collect()]
+
+
+def found(spark, root, k=10):
+    rows = postings.search(spark, root, QUERIES, k).orderBy("query", F.desc("score"), "id").collect()
+    return {name: [(r.id, round(r.score, 9)) for r in rows if r.query == name] for name in QUERIES}
+
+
+def test_same_as_reading_all_texts(spark, tmp_path):
+    root = str(tmp_path / "index")
+    df = frame(spark, enumerate(TEXTS))
+    postings.add_documents(df, root, 1, "k", ["text"])
+    for k in (10, 2):
+        assert found(spark, root, k) == {name: expected(df, text, k) for name, text in QUERIES.items()}
+
+
+def test_deliveries_replace_documents(spark, tmp_path):
+    """Later deliveries replace, twice for one id; one that is indexed again changes nothing."""
+    root = str(tmp_path / "index")
+    first, second = list(enumerate(TEXTS)), [(0, "delta"), (8, "alpha gamma"), (3, "beta")]
+    for number, texts in ((1, first), (2, second), (1, first), (3, [(0, "beta beta alpha")]), (2, second)):
+        postings.add_documents(frame(spark, texts), root, number, "k", ["text"])
+    now = dict(first) | dict(second) | {0: "beta beta alpha"}
+    df = frame(spark, now.items())
+    assert found(spark, root) == {name: expected(df, text) for name, text in QUERIES.items()}
+
+
+def test_only_the_words_buckets_are_read(spark, tmp_path):
+    root = str(tmp_path / "index")
+    postings.add_documents(frame(spark, enumerate(TEXTS)), root, 1, "k", ["text"])
+    with settings(spark, spark__sql__maxMetadataStringLength="2000"):
+        plan = postings.search(spark, root, {"q": "beta"})._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("FileScan")[1:] if "/postings" in line]
+    assert scans and all("bucket" in s.split("PartitionFilters: [")[1].split("]")[0] for s in scans)
+    assert all("EqualTo(term,beta)" in s or "In(term, [beta])" in s for s in scans)
+    assert "/lengths" not in plan
+
+
+def test_nothing_indexed(spark, tmp_path):
+    assert postings.search(spark, str(tmp_path / "none"), QUERIES).isEmpty()
+    root = str(tmp_path / "index")
+    postings.add_documents(frame(spark, enumerate(TEXTS)).limit(0), root, 1, "k", ["text"])
+    assert postings.search(spark, root, QUERIES).isEmpty()
+    assert postings.search(spark, root, {"q": " "}).isEmpty()
+
+
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_few_buckets(spark, tmp_path, buckets):
+    root = str(tmp_path / "index")
+    df = frame(spark, enumerate(TEXTS))
+    postings.add_documents(df, root, 1, "k", ["text"], buckets)
+    rows = postings.search(spark, root, {"q": "gamma alpha"}, buckets=buckets).orderBy(F.desc("score"), "id").collect()
+    assert [(r.id, round(r.score, 9)) for r in rows] == expected(df, "gamma alpha")

@@ -1,0 +1,148 @@
+"""The document store with versions."""
+
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from airstrata.sinks import versions
+
+from test_sinks import docs
+
+
+def current(spark, root, **options):
+    return {r.doc_id: r.valeur for r in versions.read_documents(spark, root, **options).collect()}
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path / "store")
+
+
+def test_versions_are_pinned(spark, root):
+    one = versions.upsert(docs(spark, ("a", "2025-03-01", 9, 9.0), ("b", "2025-03-02", 1, 1.0)), root, "1")
+    held = versions.read_documents(spark, root)
+    two = versions.upsert(docs(spark, ("a", "2025-03-01", 12, 12.0), ("c", "2025-03-01", 1, 5.0)), root, "2")
+    three = versions.compact(spark, root)
+    assert versions.versions(spark, root) == [one, two, three] == [1, 2, 3]
+    assert current(spark, root, version=one) == {r.doc_id: r.valeur for r in held.collect()} == {"a": 9.0, "b": 1.0}
+    assert current(spark, root, version=two) == current(spark, root) == {"a": 12.0, "b": 1.0, "c": 5.0}
+    assert current(spark, root, days=["2025-03-02"]) == {"b": 1.0}
+    with pytest.raises(ValueError):
+        versions.read_documents(spark, root, version=7)
+
+
+def test_order_is_by_time_then_batch(spark, root):
+    first = docs(spark, ("a", "2025-03-01", 9, 5.0), ("b", "2025-03-01", 9, 1.0))
+    versions.upsert(first, root, "first")
+    versions.upsert(docs(spark, ("a", "2025-03-01", 9, 3.0), ("b", "2025-03-01", 3, 0.0)), root, "second")
+    versions.upsert(first, root, "first")
+    assert current(spark, root) == {"a": 3.0, "b": 1.0}
+    versions.compact(spark, root)
+    assert current(spark, root) == {"a": 3.0, "b": 1.0}
+    versions.upsert(first, root, "first")  # sent again after its rows were compacted
+    assert current(spark, root) == {"a": 3.0, "b": 1.0}
+    versions.upsert(docs(spark, ("a", "2025-03-01", 9, 2.0)), root, "third")
+    assert current(spark, root) == {"a": 2.0, "b": 1.0}
+    versions.compact(spark, root)
+    versions.upsert(first, root, "first")
+    versions.compact(spark, root)
+    assert current(spark, root) == {"a": 2.0, "b": 1.0}
+
+
+def test_compaction_folds_days_with_several_batches(spark, root):
+    versions.upsert(docs(spark, ("a", "2025-03-01", 1, 1.0), ("b", "2025-03-02", 1, 1.0)), root, "1")
+    assert versions.compact(spark, root) is None
+    versions.upsert(docs(spark, ("c", "2025-03-01", 1, 1.0)), root, "2")
+    versions.compact(spark, root)
+    live = versions.entries(spark, root).where("attempt IS NOT NULL").collect()
+    assert sorted((e.doc_day, e.rows) for e in live) == [("2025-03-01", 2), ("2025-03-02", 1)]
+    plan = versions.read_documents(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_a_failed_commit_is_invisible(spark, root, monkeypatch):
+    versions.upsert(docs(spark, ("a", "2025-03-01", 1, 1.0)), root, "1")
+
+    def fails(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(versions, "_claimed", fails)
+        with pytest.raises(OSError):
+            versions.upsert(docs(spark, ("a", "2025-03-01", 2, 2.0)), root, "2")
+    assert versions.versions(spark, root) == [1] and current(spark, root) == {"a": 1.0}
+    versions.upsert(docs(spark, ("a", "2025-03-01", 2, 2.0)), root, "2")
+    assert current(spark, root) == {"a": 2.0}
+
+
+def test_writers_at_once(spark, root):
+    """Five upserts and a compaction at the same time: every commit counts, each under its own number."""
+    versions.upsert(docs(spark, ("a", "2025-03-01", 0, 0.0)), root, "0")
+    versions.upsert(docs(spark, ("b", "2025-03-01", 0, 0.0)), root, "00")
+    failed = []
+
+    def run(work):
+        try:
+            work()
+        except BaseException as error:  # noqa: BLE001
+            failed.append(error)
+
+    jobs = [
+        lambda i=i: versions.upsert(docs(spark, (f"k{i}", "2025-03-01", 1, float(i)), ("a", "2025-03-01", i, float(i))), root, f"n{i}")
+        for i in range(1, 6)
+    ] + [lambda: versions.compact(spark, root)]
+    threads = [threading.Thread(target=run, args=(job,)) for job in jobs]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert failed == []
+    assert current(spark, root) == {"a": 5.0, "b": 0.0, **{f"k{i}": float(i) for i in range(1, 6)}}
+    assert versions.versions(spark, root) == list(range(1, 9))
+
+
+def test_a_claimed_number_is_not_taken_twice(spark, root):
+    versions.upsert(docs(spark, ("a", "2025-03-01", 0, 0.0)), root, "0")
+    assert not versions._claimed(spark, root, 1, "other")
+    assert current(spark, root) == {"a": 0.0}
+
+
+def test_compaction_of_what_is_written_again(spark, root, monkeypatch):
+    versions.upsert(docs(spark, ("a", "2025-03-01", 0, 0.0)), root, "1")
+    versions.upsert(docs(spark, ("b", "2025-03-01", 0, 0.0)), root, "2")
+    commit = versions._commit
+
+    def late(*args):
+        monkeypatch.setattr(versions, "_commit", commit)
+        versions.upsert(docs(spark, ("a", "2025-03-01", 0, 7.0)), root, "1")
+        return commit(*args)
+
+    monkeypatch.setattr(versions, "_commit", late)
+    with pytest.raises(versions.Conflict):
+        versions.compact(spark, root)
+    assert current(spark, root) == {"a": 7.0, "b": 0.0}
+
+
+def test_columns_and_days_of_all_kinds(spark, root):
+    versions.upsert(docs(spark, ("a", "2025-03-01", 1, 1.0)), root, "1")
+    more = docs(spark, ("b", "2025-03-01", 1, 1.0)).withColumn("note", F.lit("n"))
+    versions.upsert(more, root, "2")
+    odd = more.withColumn("date", F.lit("a:b/c%'d").cast("string")).withColumn("doc_id", F.lit("c"))
+    versions.upsert(odd, root, "3")
+    versions.upsert(odd.withColumn("date", F.lit(None).cast("string")).withColumn("doc_id", F.lit("d")), root, "4")
+    found = {r.doc_id: (r.note, r.date) for r in versions.read_documents(spark, root).collect()}
+    assert found == {"a": (None, "2025-03-01"), "b": ("n", "2025-03-01"), "c": ("n", "a:b/c%'d"), "d": ("n", None)}
+    with pytest.raises(ValueError):
+        versions.upsert(more.withColumn("note", F.lit(1)), root, "5")
+        versions.read_documents(spark, root)
+
+
+def test_an_empty_store(spark, root):
+    nothing = docs(spark, ("a", "2025-03-01", 1, 1.0)).limit(0)
+    assert versions.upsert(nothing, root, "0") is None
+    assert versions.versions(spark, root) == []
+    assert current(spark, root, schema=nothing.schema) == {}
+    with pytest.raises(ValueError):
+        versions.read_documents(spark, root)
+    assert versions.compact(spark, root) is None

@@ -15,6 +15,9 @@ have anchors with the same core. So, in this order:
    single windows, whose core and hull are the window itself.
 
 Hulls and windows are compared by two 64-bit hashes each.
+
+Rows that repeat (one id, one text) are searched once, with their number, so work and
+output grow with the rows, never with the square of a group.
 """
 
 from collections.abc import Callable, Iterator
@@ -27,6 +30,7 @@ from ..operators.rows import quoted
 from .common import stored
 
 NO_ID = -(1 << 63)  # stands for a NULL id
+SPLIT = 1024  # copies of a row that get their ranges in one group
 TABLE_BITS = 25  # the bit table has 2 ** TABLE_BITS bits: 4 MB, whatever the input
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 RANDOM = np.random.Generator(np.random.Philox(20)).integers(0, 1 << 64, (2, 256), dtype=np.uint64)
@@ -103,6 +107,34 @@ def keyed(docs: DataFrame, id_column: str, text_column: str, carried: tuple[str,
     )
 
 
+def copied(units: DataFrame) -> DataFrame:
+    """doc, mark, copies of the rows that repeat."""
+    return stored(units.groupBy("doc", "mark").agg(F.count("*").alias("copies")).where("copies > 1"), "copies")
+
+
+def once(units: DataFrame, copies: DataFrame) -> DataFrame:
+    """One row per document and text: doc, mark, text, copies.
+
+    Every task reduces the rows that repeat to one of each before they are shuffled; the others stay.
+    """
+    alone = units.join(copies, ["doc", "mark"], "left_anti")
+    several = units.join(copies, ["doc", "mark"]).groupBy("doc", "mark")
+    several = several.agg(F.first("text").alias("text"), F.first("copies").alias("copies"))
+    return alone.select("doc", "mark", "text", F.lit(1).cast("long").alias("copies")).unionByName(several)
+
+
+def with_places(rows: DataFrame, places: DataFrame, copies: DataFrame) -> DataFrame:
+    """Every row with the ``places`` of its document and text; many copies are dealt over several groups."""
+    parts = F.ceil(F.coalesce("copies", F.lit(1)) / SPLIT)
+    dealt = rows.join(copies, ["doc", "mark"], "left").withColumn(
+        "part", F.pmod(F.monotonically_increasing_id(), parts)
+    ).drop("copies")
+    spread = places.join(copies, ["doc", "mark"], "left").select(
+        "doc", "mark", "places", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part")
+    )
+    return dealt.join(spread, ["doc", "mark", "part"], "left").drop("part")
+
+
 def bit_table(cores: DataFrame) -> np.ndarray:
     """A table of bits, one set for each core; at most 2 ** TABLE_BITS / 64 rows come back."""
     slots = cores.select(F.shiftrightunsigned("core", 64 - TABLE_BITS).alias("slot"))
@@ -120,8 +152,8 @@ def in_table(table: np.ndarray, cores: np.ndarray) -> np.ndarray:
     return (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)) > 0
 
 
-def grouped(core, hull, first, last, at, doc: int, mark: int) -> tuple:
-    """Per different (core, hull) of a document a row with their number and their ranges.
+def grouped(core, hull, first, last, at, doc: int, mark: int, copies: int) -> tuple:
+    """Per different (core, hull) of a document a row with their number, in all copies, and their ranges.
 
     ``places`` holds 32-bit numbers, three for each range: first, last, anchor.
     """
@@ -133,7 +165,7 @@ def grouped(core, hull, first, last, at, doc: int, mark: int) -> tuple:
     raw, size = ranges.tobytes(), ranges.itemsize * 3
     places = [raw[a * size : b * size] for a, b in zip(new.tolist(), ends.tolist())]
     same = np.full(len(new), doc), np.full(len(new), mark)
-    return signed(core[new]), signed(hull[new]), *same, ends - new, places
+    return signed(core[new]), signed(hull[new]), *same, (ends - new) * copies, places
 
 
 def together(rows: list[tuple]) -> Iterator[pd.DataFrame]:
@@ -151,7 +183,7 @@ def ranges_of(places) -> np.ndarray:
     return np.unique(np.frombuffer(b"".join(places), "<i4").reshape(-1, 3).astype(np.int64), axis=0)
 
 
-ROW = "core long, hull long, doc long, mark long, n int, places binary"
+ROW = "core long, hull long, doc long, mark long, n long, places binary"
 NAMES = ["core", "hull", "doc", "mark", "n", "places"]
 
 
@@ -160,13 +192,14 @@ def decided(rows: DataFrame, earlier: bool) -> DataFrame:
 
     ``earlier``: a repeat is one that also occurs in a document with a smaller id;
     else one that occurs anywhere else. Counts and minima are reduced by each task
-    before they are shuffled, and the joins back can be split at hot cores.
+    before they are shuffled. What is joined on a core is written before and after, so that
+    adaptive execution may split the join at a core with many hulls.
     """
-    hulls = rows.groupBy("core", "hull").agg(
-        F.sum("n").alias("times"), F.min(F.struct("doc", "mark")).alias("top")
+    hulls = stored(
+        rows.groupBy("core", "hull").agg(F.sum("n").alias("times"), F.min(F.struct("doc", "mark")).alias("top")), "hulls"
     )
-    kinds = hulls.groupBy("core").agg(F.count("*").alias("kinds"))
-    known = hulls.join(kinds.where("kinds > 1"), "core", "left")
+    kinds = stored(hulls.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1"), "kinds")
+    known = stored(hulls.join(kinds, "core", "left"), "known")
     one = F.col("top.doc") == F.col("doc")
     if earlier:
         settled, speaks = F.col("top.doc") < F.col("doc"), one
@@ -194,7 +227,8 @@ def finer(rows: DataFrame, units: DataFrame, read: Callable, step: int, earlier:
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for doc, mark, text, held in zip(frame["doc"], frame["mark"], frame["text"], frame["places"]):
+            columns = (frame[c] for c in ("doc", "mark", "text", "copies", "places"))
+            for doc, mark, text, copies, held in zip(*columns):
                 own, ranges = read(text), ranges_of(held)
                 top = (ranges[:, 2] - ranges[:, 0]) // step  # the block of the first start
                 sizes = top - (ranges[:, 2] - ranges[:, 1]) // step + 1
@@ -207,7 +241,7 @@ def finer(rows: DataFrame, units: DataFrame, read: Callable, step: int, earlier:
                 if step == 1:
                     _, once = np.unique(first, return_index=True)
                     core, first, last, at = core[once], first[once], last[once], first[once]
-                out.append(grouped(core, own.hulls(first, last, at), first, last, at, doc, mark))
+                out.append(grouped(core, own.hulls(first, last, at), first, last, at, doc, mark, copies))
             yield from together(out)
 
     return decided(stored(seen.mapInPandas(split, ROW), "parts"), earlier)
@@ -216,7 +250,7 @@ def finer(rows: DataFrame, units: DataFrame, read: Callable, step: int, earlier:
 def repeated_ranges(units: DataFrame, read: Callable, earlier: bool) -> DataFrame:
     """doc, mark, places: ranges of starts of all windows that are repeats.
 
-    ``read`` turns the bytes of a text into a Sequence with ``anchors()``.
+    ``units`` are those of ``once``; ``read`` turns the bytes of a text into a Sequence with ``anchors()``.
     """
     spark = units.sparkSession
 
@@ -227,11 +261,11 @@ def repeated_ranges(units: DataFrame, read: Callable, earlier: bool) -> DataFram
                 {
                     "core": signed(np.concatenate([c for c, _ in found])),
                     "doc": np.repeat(frame["doc"].to_numpy(), [len(c) for c, _ in found]),
-                    "n": np.concatenate([n for _, n in found]),
+                    "n": np.concatenate([n * k for (_, n), k in zip(found, frame["copies"])]),
                 }
             )
 
-    met = units.select("doc", "text").mapInPandas(cores, "core long, doc long, n long").groupBy("core")
+    met = units.select("doc", "text", "copies").mapInPandas(cores, "core long, doc long, n long").groupBy("core")
     if earlier:
         twice = met.agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b")
     else:
@@ -241,11 +275,11 @@ def repeated_ranges(units: DataFrame, read: Callable, earlier: bool) -> DataFram
     def kept(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for doc, mark, text in zip(frame["doc"], frame["mark"], frame["text"]):
+            for doc, mark, text, copies in zip(*(frame[c] for c in ("doc", "mark", "text", "copies"))):
                 found = read(text).anchors()
                 few = in_table(table.value, found[0])
                 if few.any():
-                    out.append(grouped(*[x[few] for x in found], doc, mark))
+                    out.append(grouped(*[x[few] for x in found], doc, mark, copies))
             yield from together(out)
 
     return decided(stored(units.mapInPandas(kept, ROW), "anchors"), earlier)

@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .repeats import NO_ID, RANDOM, Hashes, Sequence, keyed, ranges_of
+from .repeats import NO_ID, RANDOM, Hashes, Sequence, copied, keyed, once, ranges_of, with_places
 from .suffix_dedup import covered, repeats
 
 WINDOW = 50
@@ -64,11 +64,12 @@ def without_repeats(
     words (start, end).
     """
     units = keyed(docs, id_column, text_column)
+    copies = copied(units)
 
     def read(text: bytes) -> Words:
         return Words(text, window)
 
-    places = repeats(units, read, (STEP, 1), earlier=True)
+    places = repeats(once(units, copies), read, (STEP, 1), earlier=True)
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -82,7 +83,7 @@ def without_repeats(
                 out.append((name, len(words), len(words) - len(left), spans, b" ".join(left)))
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "spans", "kept"])
 
-    rows = units.join(places, ["doc", "mark"], "left")
+    rows = with_places(units, places, copies)
     return rows.mapInPandas(
         cut, "doc_id long, n_words long, n_removed long, spans array<long>, kept binary"
     )

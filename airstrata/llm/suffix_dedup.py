@@ -1,13 +1,12 @@
-"""Repeated byte strings within and across documents, by prefix-free parsing.
-
-Texts are cut into phrases at triggers that a rolling hash of GRAM bytes chooses: the
-smallest of every REACH successive ones, so the choice depends on the bytes around
-it only. Equal strings of ``length`` bytes are therefore cut alike. A string is
-named by where its first chosen trigger lies in it - the phrase suffix before it
-- and by the parse from there on. Suffixes that agree in both are
-neighbours in the order of the whole corpus; they are brought together by their hashes
-instead of a global sort, for removal asks whether a string has an equal, not
-which comes first.
+"""Repeated byte strings within and across documents, from minima of rolling hashes.
+
+In every run of ``reach`` successive string starts the position with the smallest hash of GRAM bytes,
+the rightmost of equal ones, is chosen; the choice depends on the bytes around it only, so equal strings
+of ``length`` bytes choose alike. A stretch of at least CORE bytes from there on (less for
+short strings), which all strings of the run hold, brings candidates together by its hash, and
+hulls and single strings then decide, as told in ``repeats``. So hashes of stretches take the place of
+a dictionary of phrases, its parse and their suffix arrays: removal asks whether a string
+has an equal, not which comes first, and no order of all suffixes is made.
 """
 
 from collections.abc import Iterator
@@ -18,11 +17,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from .common import stored
-from .repeats import NO_ID, RANDOM, Sequence, finer, keyed, ranges_of, repeated_ranges
+from .repeats import (
+    NO_ID, RANDOM, Sequence, copied, finer, keyed, once, ranges_of, repeated_ranges, with_places,
+)
 
 LENGTH = 400
 GRAM = 16
 REACH = 256
+CORE = 145
 STEP = 16
 CUT = "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<long>, kept binary"
 
@@ -56,9 +58,9 @@ class Bytes(Sequence):
         starts = self.n - self.window + 1
         if starts <= 0:
             return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
-        # Shorter strings leave less room for triggers and their phrase.
+        # Shorter strings leave less room for a choice and for what follows it.
         gram = min(GRAM, self.window)
-        reach = max(1, min(REACH, self.window - gram + 1))
+        reach = max(1, min(REACH, max(self.window - CORE + 1, self.window // 2), self.window - gram + 1))
         every = np.arange(self.n - gram + 1)
         chosen = smallest(self.hash[0](every, every + gram), reach)[:starts]
         new = np.flatnonzero(np.r_[True, chosen[1:] != chosen[:-1]])
@@ -77,8 +79,23 @@ def covered(n: int, ranges: np.ndarray, length: int) -> np.ndarray:
     return edges.reshape(-1, 2)
 
 
+def whole_characters(text: bytes, spans: np.ndarray) -> np.ndarray:
+    """The spans widened to whole UTF-8 characters, those that then meet as one."""
+    wide: list[list[int]] = []
+    for start, end in spans.tolist():
+        while 0 < start < len(text) and text[start] & 0xC0 == 0x80:
+            start -= 1
+        while end < len(text) and text[end] & 0xC0 == 0x80:
+            end += 1
+        if wide and start <= wide[-1][1]:
+            wide[-1][1] = end
+        else:
+            wide.append([start, end])
+    return np.array(wide, np.int64).reshape(-1, 2)
+
+
 def repeats(units: DataFrame, read, steps: tuple, earlier: bool) -> DataFrame:
-    """doc, mark and the ranges of starts of repeated windows, as a list of binaries."""
+    """doc, mark and the ranges of starts of repeated windows, as a list of binaries; ``units`` of ``once``."""
     level = stored(repeated_ranges(units, read, earlier), "repeats")
     found = level.where("settled")
     for step in steps:
@@ -93,6 +110,7 @@ def without_repeats(
     id_column: str = "doc_id",
     text_column: str = "text",
     carried: tuple[str, ...] = (),
+    characters: bool = False,
 ) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, spans, kept (the bytes left).
 
@@ -101,14 +119,16 @@ def without_repeats(
     Matches never cross documents. ``spans`` are the maximal removed runs (start,
     end). NULL and empty texts have no bytes; rows that repeat count as documents of
     their own, so those of at least ``length`` bytes lose all; NULL ids are kept.
-    ``carried`` columns follow, each row with its own.
+    ``carried`` columns follow, each row with its own. With ``characters`` a run also
+    takes the rest of a character that it cuts, so that ``kept`` stays valid text.
     """
     units = keyed(docs, id_column, text_column)
+    copies = copied(units)
 
     def read(text: bytes) -> Bytes:
         return Bytes(text, length)
 
-    places = repeats(units, read, (STEP, 1), earlier=False)
+    places = repeats(once(units, copies), read, (STEP, 1), earlier=False)
     names = [column.split()[0] for column in CUT.split(", ")]
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -117,13 +137,15 @@ def without_repeats(
             others = zip(*(frame[f"carried {c}"] for c in carried)) if carried else always(())
             for doc, text, held, own in zip(frame["doc"], frame["text"], frame["places"], others):
                 spans = covered(len(text), ranges_of(held), length)
+                if characters:
+                    spans = whole_characters(text, spans)
                 edges = [0, *spans.ravel().tolist(), len(text)]
                 left = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
                 name, runs = None if doc == NO_ID else doc, spans.ravel().tolist()
                 out.append((name, len(text), len(text) - len(left), len(spans), runs, left, *own))
             yield pd.DataFrame(out, columns=[*names, *carried])
 
-    rows = keyed(docs, id_column, text_column, carried).join(places, ["doc", "mark"], "left")
+    rows = with_places(keyed(docs, id_column, text_column, carried), places, copies)
     kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried]
     return rows.mapInPandas(cut, ", ".join([CUT, *kinds]))
 

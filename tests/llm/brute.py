@@ -57,6 +57,26 @@ def repeated_bytes(docs, length=400):
     return sorted(out, key=repr)
 
 
+def without_repeated_characters(docs, length):
+    """id -> the text without the characters that a repeated string of bytes touches."""
+    raws = [(k, (t or "").encode()) for k, t in docs]
+    seen = Counter(r[i : i + length] for _, r in raws for i in range(len(r) - length + 1))
+    out = {}
+    for k, r in raws:
+        gone = bytearray(len(r))
+        for i in range(len(r) - length + 1):
+            if seen[r[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        at, kept = 0, []
+        for c in r.decode():
+            size = len(c.encode())
+            if not any(gone[at : at + size]):
+                kept.append(c)
+            at += size
+        out[k] = "".join(kept)
+    return out
+
+
 def repeated_words(docs, window=50):
     """(id, words, removed, SHA-256 of the rest) per row."""
     split = [(k, WORD.findall((t or "").encode())) for k, t in docs]

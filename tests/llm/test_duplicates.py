@@ -47,6 +47,28 @@ def test_null_id(spark):
     assert {r.doc_id: r.n_removed for r in substring_dedup.digest(docs).where("n_words > 0").collect()} == {None: 0, 5: 120}
 
 
+@pytest.mark.parametrize("number", [7, None])
+def test_many_copies_of_a_row(spark, number):
+    """2,000 rows of one id and text, beside a part of it and another text: searched once, with their number."""
+    text = prose(61, 130)
+    texts = [(number, text)] * 2000 + [(9, prose(62, 20) + " " + text[:600]), (10, prose(63, 120))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(6)
+    assert rows(suffix_dedup.digest(docs)) == brute.repeated_bytes(texts)
+    assert substring_dedup.digest(docs).count() == len(texts)
+    if number is not None:
+        assert rows(substring_dedup.digest(docs)) == brute.repeated_words(texts)
+    from airstrata.llm import repeats
+
+    units = repeats.keyed(docs, "doc_id", "text")
+    copies = repeats.copied(units)
+    assert [r.copies for r in copies.collect()] == [2000] and repeats.once(units, copies).count() == 3
+
+
+@pytest.mark.parametrize("length", [20, 100, 250])
+def test_other_lengths(table, length):
+    assert rows(suffix_dedup.digest(table, length=length)) == brute.repeated_bytes(pairs(table), length)
+
+
 def test_many_short_matches(spark):
     """Passages just below, at and above the length, in changing surroundings."""
     random.seed(5)

@@ -9,7 +9,7 @@ from samples import FIELDS, FOLDER, pairs, prose
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.fixture(scope="module")
@@ -36,13 +36,36 @@ def test_one_of_each_group_stays(stages):
 
 
 def test_repeated_strings_are_gone(stages):
-    kept = {k: n - r for k, n, r, _, _ in brute.repeated_bytes(pairs(stages[2]))}
-    got = {k: len(t.encode()) for k, t in pairs(stages[3])}
-    assert set(got) == {k for k, n in kept.items() if n}
-    assert all(kept[k] - 6 <= n <= kept[k] for k, n in got.items())
+    kept = brute.without_repeated_characters(pairs(stages[2]), corpus_pipeline.PASSAGE)
+    assert dict(pairs(stages[3])) == {k: t for k, t in kept.items() if t}
     assert all(r.n_chars == len(r.text) for r in stages[3].collect())
 
 
+def test_cut_characters(spark):
+    """A run that cuts a character takes the whole of it; a replacement sign that was there stays."""
+    shared = "é".join(prose(31, 60).split()[:40]) * 2
+    texts = ["keep \ufffd this sign", "à" + shared + "b\ufffd", "á" + shared + "c", "ê", "ß" * 400, "x" + "ß" * 400]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], FIELDS)
+    got = dict(pairs(corpus_pipeline.without_repeated_passages(spark, docs, FOLDER)))
+    want = brute.without_repeated_characters(list(enumerate(texts)), corpus_pipeline.PASSAGE)
+    assert got == {k: t for k, t in want.items() if t}
+    assert got[0] == texts[0] and got[1].endswith("b\ufffd")
+
+
+def test_planted_passages(spark):
+    """A passage of some 55 words in otherwise different texts goes; texts without one stay whole."""
+    def own(seed, n):
+        return " ".join(f"{w[:6]}{seed}" for w in prose(seed, n).split())
+
+    passage = " ".join(w[:5] for w in prose(50, 55).split())
+    carriers = [(i, own(60 + i, 80) + ". " + passage + ". " + own(90 + i, 40), "en", "s", 0) for i in range(20)]
+    clean = [(100 + i, own(300 + i, 150), "en", "s", 0) for i in range(20)]
+    docs = spark.createDataFrame(carriers + clean, FIELDS)
+    got = dict(pairs(corpus_pipeline.without_repeated_passages(spark, docs, FOLDER)))
+    assert all(passage not in got[r[0]] and got[r[0]] != r[1] for r in carriers)
+    assert all(got[r[0]] == r[1] for r in clean)
+
+
 def test_no_item_is_left(stages, spark):
     items = [r.text for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
     left = dict(pairs(stages[4]))

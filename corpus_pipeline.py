@@ -11,6 +11,8 @@ from airstrata.llm import decontamination, language, packing, simhash, suffix_de
 from airstrata.llm.common import stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# Bytes that a passage of over 50 words nearly always has; figures are in the README.
+PASSAGE = 250
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -40,15 +42,14 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the strings of 400 bytes that are found elsewhere too.
+    """Texts without the strings of PASSAGE bytes that are found elsewhere too, in whole characters.
 
-    What is left of a character that a removed run cuts is dropped, as is a document with nothing left.
+    A document with nothing left is dropped; texts from which nothing is cut stay as they are.
     """
-    cut = suffix_dedup.without_repeats(docs, carried=("lang", "source")).where(F.length("kept") > 0)
-    clean = F.try_validate_utf8(F.col("kept").cast("string"))
+    cut = suffix_dedup.without_repeats(docs, PASSAGE, carried=("lang", "source"), characters=True)
     return (
-        cut.withColumn("text", F.coalesce(clean, F.make_valid_utf8(F.col("kept").cast("string"))))
-        .withColumn("text", F.replace("text", F.lit("�"), F.lit("")))
+        cut.where(F.length("kept") > 0)
+        .withColumn("text", F.col("kept").cast("string"))
         .withColumn("n_chars", F.length("text").cast("long"))
         .select(COLUMNS)
     )

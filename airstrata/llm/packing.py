@@ -1,10 +1,10 @@
 """Sequences of bounded length from whole documents, neighbours by BM25 side by side.
 
-Documents are dealt into shards of similar texts: they are ordered by a hash of
-their greatest ids - late merges, hence rare ones - so texts that share those lie
-together. Each shard is an inverted
+Documents are dealt into shards of similar texts: they are ordered by MinHash - of each of a few hashes, the
+id of a text for which it is least - so texts that share most of their ids probably begin alike, one
+that differs in a few ids included, and lie together. Each shard is an inverted
 index over its own documents with weights from the whole corpus. A seed document
-opens a window, and the index gives the unused documents most like it,
+opens a window, and the index gives the unused documents most like the seed,
 which fill the window; the last one is cut at the window's end, and its rest is
 the next seed.
 """
@@ -21,12 +21,14 @@ from .common import stored, texts
 from .tokens import encoder
 
 LENGTH = 1024
-SHARD = 384  # documents in a shard
-SHARD_IDS = 2_000_000  # and ids, if they are long
+SHARD = 2048  # documents in a shard
+SHARD_IDS = 4_000_000  # and ids, if they are long
 END = 0
 QUERY = 48  # rarest terms of a seed that are looked up
 K1, B = 1.2, 0.75
-SIGNS = 4  # greatest ids that place a document
+SIGNS = 4  # hashes that place a document
+COMMON = 512  # the first ids of a vocabulary, single bytes and the earliest merges, do not place
+FIRST = 32  # neighbours that are ranked before the others
 
 
 def tokenised(docs: DataFrame, tokenizer_path: str, id_column="doc_id", text_column="text", end_id=END):
@@ -41,7 +43,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, id_column="doc_id", text_col
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, end = encoder(tokenizer_path), np.array([end_id], "<u4")
         size = max(own.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
-        different, counts = Present(size), np.zeros(size + 2, "<i8")
+        different, placed, counts = Present(size), Places(size), np.zeros(size + 2, "<i8")
         width = 2 if size <= 65536 else 4
         for frame in frames:
             out, places = [], []
@@ -51,15 +53,15 @@ def tokenised(docs: DataFrame, tokenizer_path: str, id_column="doc_id", text_col
                 counts[present + 2] += 1
                 counts[:2] += 1, len(ids)
                 out.append(ids.tobytes())
-                places.append(place(present))
+                places.append(placed(present))
             yield pd.DataFrame(
                 {"doc_id": frame["doc_id"], "ids": out, "width": width, "place": places, "counts": None}
             )
         yield pd.DataFrame(
-            {"doc_id": [None], "ids": [None], "width": [0], "place": [0], "counts": [counts.tobytes()]}
+            {"doc_id": [None], "ids": [None], "width": [0], "place": [None], "counts": [counts.tobytes()]}
         )
 
-    return rows.mapInPandas(encode, f"doc_id {kind}, ids binary, width int, place long, counts binary")
+    return rows.mapInPandas(encode, f"doc_id {kind}, ids binary, width int, place binary, counts binary")
 
 
 def id_frequencies(encoded: DataFrame) -> tuple[np.ndarray, int, float]:
@@ -90,9 +92,18 @@ def weights(frequency: np.ndarray, documents: int) -> np.ndarray:
     return np.maximum(np.log((documents - frequency + 0.5) / (frequency + 0.5)), 0).astype(np.float32)
 
 
-def place(present: np.ndarray) -> int:
-    """A number near which texts with the same rare ids are ordered."""
-    return zlib.crc32(present[-SIGNS:].astype("<u4").tobytes())
+class Places:
+    """A key by which texts with much the same ids are ordered together."""
+
+    def __init__(self, size: int):
+        draws = np.random.Generator(np.random.Philox(SIGNS)).integers(0, 1 << 32, (SIGNS, size), dtype=np.uint32)
+        draws[:, :COMMON] = np.iinfo(np.uint32).max
+        self.draws = draws
+
+    def __call__(self, present: np.ndarray) -> bytes:
+        if not len(present):
+            return b""
+        return present[self.draws[:, present].argmin(axis=1)].astype(">u4").tobytes()
 
 
 class Present:
@@ -115,75 +126,93 @@ class Shard:
     """An inverted index over some documents, whose postings carry BM25 weights."""
 
     def __init__(self, documents: list[np.ndarray], idf: np.ndarray, mean: float):
-        self.n = len(documents)
-        terms, owners, scores = [], [], []
-        self.queries = []
-        for i, ids in enumerate(documents):
-            present, counts = np.unique(ids, return_counts=True)
-            keep = idf[present] > 0
-            present, counts = present[keep].astype(np.int64), counts[keep]
-            weight = idf[present]
-            top = np.argpartition(-weight, QUERY)[:QUERY] if len(present) > QUERY else slice(None)
-            self.queries.append(np.sort(present[top]))
-            norm = K1 * (1 - B + B * len(ids) / max(mean, 1e-9))
-            terms.append(present)
-            owners.append(np.full(len(present), i))
-            scores.append(weight * counts * (K1 + 1) / (counts + norm))
-        self.terms = np.concatenate([*terms, np.zeros(0, np.int64)])
-        order = np.argsort(self.terms, kind="stable")
-        self.terms = self.terms[order]
-        self.owners = np.concatenate([*owners, np.zeros(0, np.int64)])[order]
-        self.scores = np.concatenate([*scores, np.zeros(0)])[order]
+        self.n, self.documents, self.idf = len(documents), documents, idf
+        self.different = Present(len(idf))
+        sizes = np.array([len(d) for d in documents], np.int64)
+        # Postings in the order of their ids, then documents, from one sort.
+        keys = np.concatenate([*documents, np.zeros(0, np.int64)]).astype(np.int64) << 24
+        keys += np.repeat(np.arange(self.n), sizes)
+        keys.sort()
+        new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+        counts = np.diff(np.r_[new, len(keys)])
+        terms, self.owners = keys[new] >> 24, (keys[new] & 0xFFFFFF).astype(np.int32)
+        norm = K1 * (1 - B + B * sizes / max(mean, 1e-9))
+        self.scores = (idf[terms] * counts * (K1 + 1) / (counts + norm[self.owners])).astype(np.float32)
+        self.ends = np.cumsum(np.bincount(terms, minlength=len(idf)))
+
+    def terms(self, one: int) -> np.ndarray:
+        """The rarest terms of a document, those without a weight left out."""
+        present = self.different(self.documents[one])
+        present = present[self.idf[present] > 0]
+        if len(present) <= QUERY:
+            return present
+        return np.sort(present[np.argpartition(-self.idf[present], QUERY)[:QUERY]])
 
     def neighbours(self, one: int) -> np.ndarray:
         """BM25 of every document of the shard for the rarest terms of one of them."""
-        query = self.queries[one]
-        first = np.searchsorted(self.terms, query, "left")
-        sizes = np.searchsorted(self.terms, query, "right") - first
+        query = self.terms(one)
+        first = np.where(query > 0, self.ends[query - 1], 0)
+        sizes = self.ends[query] - first
         total = int(sizes.sum())
         if not total:
             return np.zeros(self.n)
-        at = np.repeat(first - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(total)
+        at = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(total)
         return np.bincount(self.owners[at], self.scores[at], self.n)
 
+    def ranked(self, one: int, free: np.ndarray) -> Iterator[int]:
+        """The ``free`` documents that share such a term, the likest first, equal ones in their order."""
+        score = self.neighbours(one)
+        found = np.flatnonzero((score > 0) & free)
+        likest = found
+        if len(found) > FIRST:
+            # All that reach the score of the last of the first.
+            least = -np.partition(-score[found], FIRST - 1)[FIRST - 1]
+            likest, found = found[score[found] >= least], found[score[found] < least]
+        else:
+            found = found[:0]
+        yield from likest[np.argsort(-score[likest], kind="stable")].tolist()
+        yield from found[np.argsort(-score[found], kind="stable")].tolist()
+
 
 def fill(documents: list[np.ndarray], idf: np.ndarray, mean: float, length: int, room: int):
     """Yield (document, start, size, opens a new window) until all ids are placed.
 
     ``room`` is what the window that is open still takes. Full windows are cut from
-    a long document first; what remains of it seeds the next window.
+    a long document first; what remains of it is the seed that the window is filled for. Where no
+    unused document is like the seed, the next one in order goes on.
     """
     index = Shard(documents, idf, mean)
     free = np.ones(len(documents), bool)
     room = room or length
     fresh = room == length
-    for seed in range(len(documents)):
-        if not free[seed]:
-            continue
-        queue, at = [seed], 0
-        free[seed] = False
-        while at < len(queue):
-            one, at = queue[at], at + 1
-            start, size = 0, len(documents[one])
-            while start < size:
-                part = min(room, size - start)
-                yield one, start, part, fresh
-                start, room = start + part, room - part
-                fresh = room == 0
-                room = room or length
-            if fresh:
-                continue
-            if at == len(queue):
-                # The document that was placed last asks for unused neighbours.
-                score = np.where(free, index.neighbours(one), 0.0)
-                best = np.lexsort((np.arange(len(score)), -score))[:16]
-                left = room
-                for i in best[score[best] > 0]:
-                    if left <= 0:
-                        break
-                    queue.append(int(i))
-                    free[i] = False
-                    left -= len(documents[i])
+    seed, start, following = None, 0, 0
+    while True:
+        if seed is None:
+            while following < len(documents) and not free[following]:
+                following += 1
+            if following == len(documents):
+                return
+            seed, start = following, 0
+            free[seed] = False
+        size = len(documents[seed])
+        while start < size:
+            part = min(room, size - start)
+            yield seed, start, part, fresh
+            start, room = start + part, room - part
+            fresh = room == 0
+            room = room or length
+        rest = None
+        if not fresh:
+            for one in index.ranked(seed, free):
+                free[one] = False
+                part = min(room, len(documents[one]))
+                yield one, 0, part, False
+                room -= part
+                if not room:
+                    fresh, room = True, length
+                    rest = (one, part) if part < len(documents[one]) else None
+                    break
+        seed, start = rest or (None, 0)
 
 
 def pack(
@@ -200,7 +229,8 @@ def pack(
     in exactly one piece; the pieces of a sequence follow each other from offset 0.
     A sequence is full but for the last of a task, so the padding is at most one
     sequence a task. Texts are encoded once and their ids shuffled once, into ranges
-    of (place, doc_id): copies and a hot place are cut by id. A task holds one shard.
+    of (place, doc_id): copies and a hot place are cut by id. A task holds one shard, in which it looks for neighbours;
+    those that lie in other shards are not found, and no document is left out for that.
     Rows that repeat are packed each; an empty table gives no pieces.
     """
     encoded = stored(tokenised(docs, tokenizer_path, id_column, text_column, end_id), "ids")

@@ -162,6 +162,75 @@ def test_neighbours_share_rare_ids():
     assert index.neighbours(0).argsort()[::-1].tolist()[:2] == [0, 2]
 
 
+def windows_of(documents, idf, mean, length):
+    """The windows that the operator must fill: each for its seed, plainly."""
+    n = len(documents)
+    counts = [{int(t): int((d == t).sum()) for t in d} for d in documents]
+
+    def score(one, other):
+        terms = sorted((t for t in counts[one] if idf[t] > 0), key=lambda t: (-idf[t], t))
+        norm = packing.K1 * (1 - packing.B + packing.B * len(documents[other]) / mean)
+        found = [(idf[t], counts[other][t]) for t in terms[: packing.QUERY] if t in counts[other]]
+        return sum(float(w) * c * (packing.K1 + 1) / (c + norm) for w, c in found)
+
+    free, windows, rest = list(range(n)), [[]], None
+    room = length
+    while free or rest:
+        one, at = rest or (free.pop(0), 0)
+        rest, seed = None, one
+        todo = [(one, at)]
+        likest = None
+        while todo:
+            one, at = todo.pop(0)
+            part = min(room, len(documents[one]) - at)
+            windows[-1].append((one, at, part))
+            room -= part
+            if not room:
+                windows.append([])
+                room = length
+                if at + part < len(documents[one]):
+                    rest = (one, at + part)
+                break
+            if likest is None:
+                likest = sorted((-round(score(seed, i), 3), i) for i in free if score(seed, i) > 0)
+            if likest:
+                todo.append((likest.pop(0)[1], 0))
+                free.remove(todo[0][0])
+    return [w for w in windows if w]
+
+
+@pytest.mark.parametrize("first", [2, 1000])
+def test_windows_hold_the_neighbours_of_their_seed(monkeypatch, first):
+    monkeypatch.setattr(packing, "FIRST", first)
+    monkeypatch.setattr(packing, "QUERY", 1000)
+    rng = np.random.default_rng(4)
+    topics = [rng.choice(np.arange(100, 900), 60, replace=False) for _ in range(8)]
+    documents = [rng.choice(topics[i % 8], rng.integers(3, 90)).astype("<u4") for i in range(120)]
+    documents[5] = rng.choice(topics[5], 700).astype("<u4")
+    frequency = np.bincount(np.concatenate([np.unique(d) for d in documents]), minlength=1000)
+    mean = sum(map(len, documents)) / len(documents)
+    idf = packing.weights(frequency, len(documents))
+    windows = []
+    for one, start, size, fresh in packing.fill(documents, idf, mean, 256, 0):
+        if fresh:
+            windows.append([])
+        windows[-1].append((one, start, size))
+    assert windows == windows_of(documents, idf, mean, 256)
+
+
+def test_like_texts_have_like_places():
+    """One id that differs leaves most texts where they were; a common id never places."""
+    placed = packing.Places(50_000)
+    rng = np.random.default_rng(3)
+    same = 0
+    for _ in range(300):
+        ids = np.sort(rng.choice(np.arange(600, 50_000), 200, replace=False))
+        other = np.sort(np.r_[ids[1:], rng.integers(600, 50_000)])
+        same += placed(ids)[:4] == placed(other)[:4]
+        assert placed(np.r_[3, ids]) == placed(ids)
+    assert same > 280 and placed(np.zeros(0, int)) == b""
+
+
 def test_empty_tables(empty, tmp_path):
     assert token_counts.token_counts(empty, PATH).count() == 0
     assert token_files.token_files(empty, PATH, str(tmp_path / "none")).count() == 0

@@ -75,18 +75,24 @@ class Hashes:
 class Sequence:
     """The units of one text with their hashes, and its anchors: ranges of window starts.
 
-    ``anchors()`` gives arrays: core and hull (hashes), first and last start, anchor.
+    ``values`` gives the units' 64-bit values of the first or second kind; each is hashed when
+    first needed. ``anchors()`` gives arrays: core (hashes), first and last start, anchor.
     """
 
-    def __init__(self, values: tuple[np.ndarray, np.ndarray], window: int):
-        self.n, self.window = len(values[0]), window
-        self.hash = [Hashes(v, i) for i, v in enumerate(values)]
+    def __init__(self, values: Callable[[int], np.ndarray], n: int, window: int):
+        self.values, self.n, self.window = values, n, window
+        self.made: dict[int, Hashes] = {}
+
+    def hashes(self, which: int) -> Hashes:
+        if which not in self.made:
+            self.made[which] = Hashes(self.values(which), which)
+        return self.made[which]
 
     def hulls(self, first: np.ndarray, last: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Of ranges whose anchor is at ``at``; where it lies in the hull counts."""
         with np.errstate(over="ignore"):
             return mixed(
-                self.hash[1](first, last + self.window)
+                self.hashes(1)(first, last + self.window)
                 + (at - first).astype(np.uint64) * np.uint64(BASES[0])
                 + (last - first).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D)
             )
@@ -237,7 +243,7 @@ def finer(rows: DataFrame, units: DataFrame, read: Callable, step: int, earlier:
                 at = ranges[owner, 2]
                 early, late = at - (block + 1) * step + 1, at - block * step
                 first, last = np.maximum(early, ranges[owner, 0]), np.minimum(late, ranges[owner, 1])
-                core = own.hash[0](late, early + own.window)
+                core = own.hashes(0)(late, early + own.window)
                 if step == 1:
                     _, once = np.unique(first, return_index=True)
                     core, first, last, at = core[once], first[once], last[once], first[once]
@@ -276,10 +282,12 @@ def repeated_ranges(units: DataFrame, read: Callable, earlier: bool) -> DataFram
         for frame in frames:
             out = []
             for doc, mark, text, copies in zip(*(frame[c] for c in ("doc", "mark", "text", "copies"))):
-                found = read(text).anchors()
-                few = in_table(table.value, found[0])
+                own = read(text)
+                core, first, last, at = own.anchors()
+                few = in_table(table.value, core)
                 if few.any():
-                    out.append(grouped(*[x[few] for x in found], doc, mark, copies))
+                    core, first, last, at = (x[few] for x in (core, first, last, at))
+                    out.append(grouped(core, own.hulls(first, last, at), first, last, at, doc, mark, copies))
             yield from together(out)
 
     return decided(stored(units.mapInPandas(kept, ROW), "anchors"), earlier)

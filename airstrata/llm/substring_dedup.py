@@ -39,8 +39,7 @@ class Words(Sequence):
         if not PERIOD <= window:
             raise ValueError(f"windows need at least {PERIOD} words")
         units, (starts, ends) = np.frombuffer(text, np.uint8), word_spans(text)
-        words = tuple(Hashes(RANDOM[i][units], i)(starts, ends) for i in (0, 1))
-        super().__init__(words, window)
+        super().__init__(lambda which: Hashes(RANDOM[which][units], which)(starts, ends), len(starts), window)
 
     def anchors(self):
         stretch = self.window - PERIOD + 1
@@ -49,7 +48,7 @@ class Words(Sequence):
         first, last = np.maximum(at - PERIOD + 1, 0), np.minimum(at, self.n - self.window)
         some = first <= last
         at, first, last = at[some], first[some], last[some]
-        return self.hash[0](at, at + stretch), self.hulls(first, last, at), first, last, at
+        return self.hashes(0)(at, at + stretch), first, last, at
 
 
 def without_repeats(

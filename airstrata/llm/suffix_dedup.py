@@ -52,21 +52,21 @@ class Bytes(Sequence):
 
     def __init__(self, text: bytes, length: int = LENGTH):
         units = np.frombuffer(text, np.uint8)
-        super().__init__((RANDOM[0][units], RANDOM[1][units]), length)
+        super().__init__(lambda which: RANDOM[which][units], len(units), length)
 
     def anchors(self):
         starts = self.n - self.window + 1
         if starts <= 0:
-            return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
+            return tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64))
         # Shorter strings leave less room for a choice and for what follows it.
         gram = min(GRAM, self.window)
         reach = max(1, min(REACH, max(self.window - CORE + 1, self.window // 2), self.window - gram + 1))
         every = np.arange(self.n - gram + 1)
-        chosen = smallest(self.hash[0](every, every + gram), reach)[:starts]
+        chosen = smallest(self.hashes(0)(every, every + gram), reach)[:starts]
         new = np.flatnonzero(np.r_[True, chosen[1:] != chosen[:-1]])
         first, last, at = new, np.r_[new[1:] - 1, starts - 1], chosen[new]
-        core = self.hash[0](at, at + self.window - reach + 1)
-        return core, self.hulls(first, last, at), first, last, at
+        core = self.hashes(0)(at, at + self.window - reach + 1)
+        return core, first, last, at
 
 
 def covered(n: int, ranges: np.ndarray, length: int) -> np.ndarray:

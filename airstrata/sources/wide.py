@@ -31,8 +31,8 @@ def _cells(line: Column) -> Column:
 def file_columns(spark: SparkSession, path) -> DataFrame:
     """file, names: the columns of every file, the first called ``time``; NULL if no file before it has any.
 
-    Header, name and note rows are the lines at the very top of a file without a readable time.
-    Where a line stands follows from its number in the file's first block, which one
+    A file begins with a header if its first line and the one where names stand have no readable
+    time. Where a line stands follows from its number in the file's first block, which one
     task reads in order; a few lines per file are shuffled.
     """
     lines = spark.read.text(path).select(
@@ -45,7 +45,8 @@ def file_columns(spark: SparkSession, path) -> DataFrame:
     untimed = lines.where(parse_time(F.get(_cells(F.col("value")), F.lit(0))).isNull())
     rank = F.row_number().over(Window.partitionBy("file").orderBy("place"))
     top = untimed.withColumn("rank", rank).where(F.col("rank") <= TOP).join(first, "file")
-    named = top.where((F.col("place") - F.col("first") == NAME_ROW + 1) & (F.col("rank") == NAME_ROW + 2))
+    line = F.col("place") - F.col("first")
+    named = top.where(line == NAME_ROW + 1).join(top.where(line == 0).select("file"), "file", "left_semi")
     cells = _cells(F.col("value"))
     names = F.concat(F.array(F.lit("time")), F.slice(cells, F.lit(2), F.greatest(F.size(cells) - 1, F.lit(0))))
     before = Window.partitionBy(F.regexp_extract("file", "^(.*)/", 1)).orderBy("file")

@@ -21,7 +21,7 @@ from .common import stored, texts
 from .tokens import encoder
 
 LENGTH = 1024
-SHARD = 2048  # documents in a shard
+SHARD = 1024  # documents in a shard
 SHARD_IDS = 4_000_000  # and ids, if they are long
 END = 0
 QUERY = 48  # rarest terms of a seed that are looked up
@@ -127,7 +127,6 @@ class Shard:
 
     def __init__(self, documents: list[np.ndarray], idf: np.ndarray, mean: float):
         self.n, self.documents, self.idf = len(documents), documents, idf
-        self.different = Present(len(idf))
         sizes = np.array([len(d) for d in documents], np.int64)
         # Postings in the order of their ids, then documents, from one sort.
         keys = np.concatenate([*documents, np.zeros(0, np.int64)]).astype(np.int64) << 24
@@ -135,14 +134,15 @@ class Shard:
         keys.sort()
         new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
         counts = np.diff(np.r_[new, len(keys)])
-        terms, self.owners = keys[new] >> 24, (keys[new] & 0xFFFFFF).astype(np.int32)
+        terms, self.owners = keys[new] >> 24, keys[new] & 0xFFFFFF
         norm = K1 * (1 - B + B * sizes / max(mean, 1e-9))
-        self.scores = (idf[terms] * counts * (K1 + 1) / (counts + norm[self.owners])).astype(np.float32)
+        self.scores = idf[terms] * counts * (K1 + 1) / (counts + norm[self.owners])
         self.ends = np.cumsum(np.bincount(terms, minlength=len(idf)))
 
     def terms(self, one: int) -> np.ndarray:
         """The rarest terms of a document, those without a weight left out."""
-        present = self.different(self.documents[one])
+        ids = np.sort(self.documents[one], kind="stable")
+        present = ids[np.r_[True, ids[1:] != ids[:-1]][: len(ids)]].astype(np.int64)
         present = present[self.idf[present] > 0]
         if len(present) <= QUERY:
             return present
@@ -153,11 +153,11 @@ class Shard:
         query = self.terms(one)
         first = np.where(query > 0, self.ends[query - 1], 0)
         sizes = self.ends[query] - first
-        total = int(sizes.sum())
-        if not total:
+        if not sizes.any():
             return np.zeros(self.n)
-        at = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(total)
-        return np.bincount(self.owners[at], self.scores[at], self.n)
+        runs = [slice(a, b) for a, b in zip(first.tolist(), self.ends[query].tolist())]
+        owners = np.concatenate([self.owners[run] for run in runs])
+        return np.bincount(owners, np.concatenate([self.scores[run] for run in runs]), self.n)
 
     def ranked(self, one: int, free: np.ndarray) -> Iterator[int]:
         """The ``free`` documents that share such a term, the likest first, equal ones in their order."""

@@ -43,7 +43,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, id_column="doc_id", text_col
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, end = encoder(tokenizer_path), np.array([end_id], "<u4")
         size = max(own.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
-        different, placed, counts = Present(size), Places(size), np.zeros(size + 2, "<i8")
+        placed, counts = Places(size), np.zeros(size + 2, "<i8")
         width = 2 if size <= 65536 else 4
         for frame in frames:
             out, places = [], []
@@ -98,35 +98,27 @@ class Places:
     def __init__(self, size: int):
         draws = np.random.Generator(np.random.Philox(SIGNS)).integers(0, 1 << 32, (SIGNS, size), dtype=np.uint32)
         draws[:, :COMMON] = np.iinfo(np.uint32).max
-        self.draws = draws
+        self.draws = list(draws)
 
     def __call__(self, present: np.ndarray) -> bytes:
         if not len(present):
             return b""
-        return present[self.draws[:, present].argmin(axis=1)].astype(">u4").tobytes()
+        return np.array([present[draw.take(present).argmin()] for draw in self.draws], ">u4").tobytes()
 
 
-class Present:
-    """The different ids of a text in ascending order, by marking them in a row of flags."""
-
-    def __init__(self, size: int):
-        self.flags = np.zeros(size, bool)
-
-    def __call__(self, ids: np.ndarray) -> np.ndarray:
-        top = int(ids.max(initial=0)) + 1
-        if top > len(self.flags):
-            self.flags = np.zeros(top, bool)
-        self.flags[ids] = True
-        found = np.flatnonzero(self.flags[:top])
-        self.flags[found] = False
-        return found
+def different(ids: np.ndarray) -> np.ndarray:
+    """The different ids of a text in ascending order; a stable sort of short numbers is a radix sort."""
+    ids = np.sort(ids, kind="stable")
+    new = np.ones(len(ids), bool)
+    np.not_equal(ids[1:], ids[:-1], out=new[1:])
+    return ids[new].astype(np.int64)
 
 
 class Shard:
     """An inverted index over some documents, whose postings carry BM25 weights."""
 
     def __init__(self, documents: list[np.ndarray], idf: np.ndarray, mean: float):
-        self.n, self.documents, self.idf = len(documents), documents, idf
+        self.n, self.idf = len(documents), idf
         sizes = np.array([len(d) for d in documents], np.int64)
         # Postings in the order of their ids, then documents, from one sort.
         keys = np.concatenate([*documents, np.zeros(0, np.int64)]).astype(np.int64) << 24
@@ -138,11 +130,14 @@ class Shard:
         norm = K1 * (1 - B + B * sizes / max(mean, 1e-9))
         self.scores = idf[terms] * counts * (K1 + 1) / (counts + norm[self.owners])
         self.ends = np.cumsum(np.bincount(terms, minlength=len(idf)))
+        self.firsts = np.r_[0, self.ends[:-1]]
+        # The same postings by document, for the terms of a seed.
+        self.present = terms[np.argsort(self.owners.astype(np.uint16 if self.n <= 65536 else np.int64), kind="stable")]
+        self.bounds = np.r_[0, np.cumsum(np.bincount(self.owners, minlength=self.n))].tolist()
 
     def terms(self, one: int) -> np.ndarray:
         """The rarest terms of a document, those without a weight left out."""
-        ids = np.sort(self.documents[one], kind="stable")
-        present = ids[np.r_[True, ids[1:] != ids[:-1]][: len(ids)]].astype(np.int64)
+        present = self.present[self.bounds[one] : self.bounds[one + 1]]
         present = present[self.idf[present] > 0]
         if len(present) <= QUERY:
             return present
@@ -151,13 +146,12 @@ class Shard:
     def neighbours(self, one: int) -> np.ndarray:
         """BM25 of every document of the shard for the rarest terms of one of them."""
         query = self.terms(one)
-        first = np.where(query > 0, self.ends[query - 1], 0)
-        sizes = self.ends[query] - first
-        if not sizes.any():
+        if not len(query):
             return np.zeros(self.n)
-        runs = [slice(a, b) for a, b in zip(first.tolist(), self.ends[query].tolist())]
-        owners = np.concatenate([self.owners[run] for run in runs])
-        return np.bincount(owners, np.concatenate([self.scores[run] for run in runs]), self.n)
+        first, ends = self.firsts[query], self.ends[query]
+        after = np.cumsum(ends - first)
+        at = np.arange(after[-1]) + np.repeat(ends - after, ends - first)
+        return np.bincount(self.owners.take(at), self.scores.take(at), self.n)
 
     def ranked(self, one: int, free: np.ndarray) -> Iterator[int]:
         """The ``free`` documents that share such a term, the likest first, equal ones in their order."""

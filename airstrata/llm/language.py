@@ -13,7 +13,9 @@ DIMENSIONS = 4096  # hashed 1- to 3-grams of letters
 CENTROIDS = 4  # per language
 SAMPLE = 2000  # texts per language that place the centroids
 ROUNDS = 12
-SLACK = 0.05  # added to the largest distance met in training
+USUAL = 0.999  # share of a language's training texts whose distance counts; the rest may be mislabelled
+BINS = 1000  # in which distances are counted
+SLACK = 0.05  # added to the distance of that share
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 LETTERS: list[np.ndarray] = []
 
@@ -103,7 +105,8 @@ def fit(training: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -
 
     Document frequencies cover all rows. The centroids are placed by about
     ``sample`` texts per language, chosen by a hash of the id (at most twice
-    that many); each language is fitted in a task of its own.
+    that many); each language is fitted in a task of its own. How far a text may be
+    from its language comes from all rows: USUAL of its training texts are no farther.
     """
     labelled = training.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
@@ -121,27 +124,60 @@ def fit(training: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -
         frame = frame.sort_values(["doc_id", "text"]).head(2 * sample)
         counts = [c for c in map(gram_counts, frame["text"]) if c is not None]
         if not counts:
-            return pd.DataFrame({"lang": [], "centre": [], "far": []})
+            return pd.DataFrame({"lang": [], "centre": []})
         rows = vectors(counts, idf)
         centre = spherical_means(rows, centroids)
-        far = 1 - float((rows @ centre.T).max(axis=1).min())
         made = [x.astype("<f4").tobytes() for x in centre]
-        return pd.DataFrame({"lang": frame["lang"].iloc[0], "centre": made, "far": far})
+        return pd.DataFrame({"lang": frame["lang"].iloc[0], "centre": made})
 
     fitted = (
         chosen.select("doc_id", "text", "lang")
         .groupBy("lang")
-        .applyInPandas(place, "lang string, centre binary, far double")
+        .applyInPandas(place, "lang string, centre binary")
         .orderBy("lang", "centre")
         .collect()
     )
     centres = np.array([np.frombuffer(r["centre"], "<f4") for r in fitted], np.float32)
-    return {
-        "langs": [r["lang"] for r in fitted],
-        "centres": centres.reshape(-1, DIMENSIONS),
-        "idf": idf,
-        "far": [r["far"] + SLACK for r in fitted],
-    }
+    langs, centres = [r["lang"] for r in fitted], centres.reshape(-1, DIMENSIONS)
+    usual = usual_distances(labelled, langs, centres, idf)
+    return {"langs": langs, "centres": centres, "idf": idf, "far": [usual[lang] + SLACK for lang in langs]}
+
+
+def usual_distances(labelled: DataFrame, langs: list[str], centres: np.ndarray, idf: np.ndarray) -> dict[str, float]:
+    """Per language the distance to its nearest centroid that USUAL of its texts do not exceed.
+
+    Each task counts its own texts by language and bin of distance; at most BINS + 1 numbers
+    per language come back.
+    """
+    own = {lang: np.array([lang == other for other in langs]) for lang in set(langs)}
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = {lang: np.zeros(BINS + 1, np.int64) for lang in own}
+        for whole in frames:
+            for at in range(0, len(whole), 512):
+                frame = whole.iloc[at : at + 512]
+                told = [(lang, gram_counts(text)) for lang, text in zip(frame["lang"], frame["text"])]
+                told = [(lang, counts) for lang, counts in told if lang in own and counts is not None]
+                if told:
+                    near = vectors([counts for _, counts in told], idf) @ centres.T
+                    for (lang, _), row in zip(told, near):
+                        distance = min(max(1 - float(row[own[lang]].max()), 0.0), 1.0)
+                        total[lang][int(np.ceil(distance * BINS))] += 1
+        for lang, counts in total.items():
+            used = np.flatnonzero(counts)
+            yield pd.DataFrame({"lang": lang, "bin": used, "texts": counts[used]})
+
+    counted = labelled.select("lang", "text").mapInPandas(count, "lang string, bin long, texts long")
+    found = counted.groupBy("lang", "bin").agg(F.sum("texts").alias("texts")).collect()
+    out = {}
+    for lang in own:
+        counts = np.zeros(BINS + 1, np.int64)
+        for r in found:
+            if r["lang"] == lang:
+                counts[r["bin"]] = r["texts"]
+        passed = np.cumsum(counts)
+        out[lang] = float(np.searchsorted(passed, USUAL * passed[-1])) / BINS
+    return out
 
 
 def predict(docs: DataFrame, model: dict, id_column: str = "doc_id", text_column: str = "text"):
@@ -150,7 +186,7 @@ def predict(docs: DataFrame, model: dict, id_column: str = "doc_id", text_column
     ``score`` is the cosine to the nearest centroid. NULL texts, texts without a
     letter, and all texts where nothing was learned get ``und``, score 0, and are
     rejected; so is, with its nearest language kept, a text farther from its
-    centroid than any training text of that language by more than SLACK. Equal
+    centroid than USUAL of the training texts of that language by more than SLACK. Equal
     distances go to the language that sorts first. Whole texts are used.
     """
     rows = docs.select(quoted(id_column).alias("doc_id"), quoted(text_column).alias("text"))

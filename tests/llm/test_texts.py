@@ -84,8 +84,8 @@ def test_languages_of_odd_texts(odd, empty, table):
 
 def test_few_wrong_labels_keep_the_distance(spark, table):
     """Texts of other scripts under a wrong label do not set how far a text may be."""
-    copies = F.explode(F.sequence(F.lit(0), F.lit(9000) / table.where("lang = 'en'").count()))
-    right = table.where("lang = 'en'").select("text", "lang", copies.cast("long").alias("copy"))
+    copies = F.explode(F.sequence(F.lit(0), F.lit(9000 // table.where("lang = 'en'").count())))
+    right = table.where("lang = 'en'").select("text", "lang", copies.alias("copy"))
     right = right.withColumn("doc_id", F.xxhash64("text", "copy")).drop("copy")
     junk = [(i, chr(0x391 + 48 * i) * 3 + " " + chr(0x3A0 + 48 * i) * 4, "en") for i in range(8)]
     wrong = right.unionByName(spark.createDataFrame(junk, "doc_id long, text string, lang string"))

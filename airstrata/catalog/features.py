@@ -157,6 +157,7 @@ def class_means_eval(spark, folder):
 
 # The head of a bitmap file of 4 x 4 pixels in three channels, lines from the bottom up.
 BITMAP = "424d66000000000000003600000028000000040000000400000001001800000000003000000000000000" + "00" * 12
+PICTURES_A_TASK = 250  # files that a task creates one after another
 BYTES = "list_transform(embedding[1:48], lambda x: greatest(0, least(127, floor((x::DOUBLE + 1) * 63.5)))::INTEGER)"
 
 
@@ -175,6 +176,8 @@ def labelled_pictures(spark, folder):
     """A picture file per embedding in its class folder, read back as red, green and blue planes.
 
     No byte is above 127, so Spark's text writer can write the files. The root bears the name of a class.
+    Files are dealt evenly over tasks, however few splits the table has, and every task moves its own
+    to their place (version 2 of the committer), not the driver those of all.
     """
     root = f"{workspace(spark, 'pictures')}/class_name=3"
     scaled = lambda x: F.floor((x.cast("double") + 1) * 63.5)
@@ -183,10 +186,13 @@ def labelled_pictures(spark, folder):
     )
     digits = F.transform(pixels, lambda x: F.lpad(F.hex(x), 2, "0"))
     lines = [F.array_join(F.slice(digits, first, 12), "") for first in (37, 25, 13, 1)]
-    table(spark, folder, "embeddings").select(
+    embeddings = table(spark, folder, "embeddings")
+    files = embeddings.select(
         F.col("label").alias("class_name"),
         F.unhex(F.concat(F.lit(BITMAP), *lines)).cast("string").alias("file"),
-    ).write.partitionBy("class_name").option("maxRecordsPerFile", 1).text(root)
+    ).repartition(embeddings.count() // PICTURES_A_TASK + 1)
+    writer = files.write.option("mapreduce.fileoutputcommitter.algorithm.version", 2)
+    writer.partitionBy("class_name").option("maxRecordsPerFile", 1).text(root)
     pictures = read_labelled_images(spark, root, "*.txt").where(F.col("reason").isNull())
     planes = resize(F.col("image"), 4, 4, whole_pixels=False)
     return pictures.select(

@@ -1,12 +1,18 @@
+from collections import Counter
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+from airstrata.catalog.features import PICTURES_A_TASK
 from airstrata.functions.pixels import gray_planes, normalize_planes, resize
 from airstrata.operators.learn import (
     class_index, class_means, evaluate, loss_gradient, predict, predict_linear, train_head,
 )
+from airstrata.workspace import shared_folder
 
 
 @pytest.fixture(scope="module")
@@ -138,3 +144,18 @@ def test_resize(spark, channels, size):
 def test_unreadable_picture_gives_null(spark):
     df = spark.createDataFrame([(("", -1, -1, -1, -1, None),), (None,)], IMAGE)
     assert [r.x for r in df.select(resize(F.col("image"), 2, 2).alias("x")).collect()] == [None, None]
+
+
+def test_pictures_are_dealt_over_tasks(spark, tmp_path):
+    """600 pictures in one split are written by several tasks, each a file of its own."""
+    rows = [(i, [(i % 200 - 100) / 100 + k / 1000 for k in range(64)], i % 3) for i in range(600)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    frame.coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    shared = Path(shared_folder(spark))
+    before = set(shared.glob("airstrata/pictures-*"))
+    found = entry.queries()["labelled_pictures"](spark, str(tmp_path))
+    assert found.count() == 600
+    (made,) = set(shared.glob("airstrata/pictures-*")) - before
+    files = [f.name for f in made.rglob("*.txt")]
+    tasks = Counter(name.split("-")[1] for name in files)
+    assert len(files) == 600 and len(tasks) > 1 and max(tasks.values()) <= 2 * PICTURES_A_TASK

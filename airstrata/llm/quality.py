@@ -10,6 +10,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -54,8 +55,13 @@ FUNCTION = (
 SPOKEN = 0.03  # share of a language's common words from which a text is in it
 HEARD = 0.1  # of the insulted share of the most insulted language, from which labellers vote
 WORD = re.compile(r"[^\W_]+")
-UPPER_RUN, LOWER_RUN = re.compile(r"[A-Z]"), re.compile(r"[^\W\dA-Z_]")
-DIGIT_RUN, SAME = re.compile(r"\d"), re.compile(r"(.)\1+")
+SAME = re.compile(r"(.)\1+")
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+# Groups of insults, then languages, in whose list a word is.
+LISTED: dict[str, list[int]] = {}
+for number, listed in enumerate(INSULTS + FUNCTION):
+    for listed_word in listed:
+        LISTED.setdefault(listed_word, []).append(number)
 # Kinds of byte: other, lower-case letter, upper-case letter, digit, white space, sign.
 KINDS = np.zeros(256, np.int64)
 KINDS[[*range(33, 127)]] = 5
@@ -85,6 +91,32 @@ TONE = (
 )
 
 
+class Kinds(dict):
+    """For ``str.translate``: digits as 0, A-Z as A, all other letters as a; signs stay."""
+
+    def __missing__(self, place: int) -> str:
+        sign = chr(place)
+        if sign.isdecimal():
+            kind = "0"
+        elif "A" <= sign <= "Z":
+            kind = "A"
+        else:
+            kind = "a" if sign.isalnum() else sign
+        self[place] = kind
+        return kind
+
+
+@lru_cache(1 << 16)
+def shape_feature(kinds: str) -> int:
+    """The feature of a word that is not all letters, from its kinds: like ones in a row count as two."""
+    return hashed_shape(SAME.sub(r"\1\1", kinds)[-3:])
+
+
+@lru_cache(1 << 16)
+def hashed_shape(shape: str) -> int:
+    return xxhash.xxh32_intdigest(shape) % (DIMENSIONS - 1)
+
+
 class Words(dict):
     """Numbers words, and keeps of each number the hashes and signs of its word.
 
@@ -95,31 +127,41 @@ class Words(dict):
 
     def __init__(self, limit: int = WORD_CACHE):
         self.limit = limit
+        self.kinds = Kinds()
         self.hashed = np.zeros((limit, 3), np.int32)
         self.signs = np.zeros((limit, 3 + len(INSULTS) + len(FUNCTION)), np.uint8)
+        # Single numbers are put in faster through these.
+        self.flat_hashed, self.flat_signs = self.hashed.reshape(-1).data, self.signs.reshape(-1).data
 
     def __missing__(self, word: str) -> int:
         number = self[word] = len(self)
         lower = word.lower()
-        inner = [lower] if lower.isalpha() else WORD.findall(lower)
-        mixed = xxhash.xxh64_intdigest(" ".join(inner))
+        joined = lower.strip(SIGNS)
+        inner = [joined]
+        if not joined.isalpha():  # signs within, digits, or nothing
+            inner = WORD.findall(lower)
+            joined = " ".join(inner)
+        at, signs = number * self.signs.shape[1], self.flat_signs
         if word.isalpha():
-            shape = "aa" if word.islower() else "Aa" if word.istitle() else "AA" if word.isupper() else "aA"
+            shape = hashed_shape(
+                "aa" if word.islower() else "Aa" if word.istitle() else "AA" if word.isupper() else "aA"
+            )
         else:
-            shape = SAME.sub(r"\1\1", LOWER_RUN.sub("a", UPPER_RUN.sub("A", DIGIT_RUN.sub("0", word))))[-3:]
+            shape = shape_feature(word.translate(self.kinds))
             last = 0
             while last < len(word) and not word[-1 - last].isalnum():
                 last += 1
-            self.signs[number, :3] = (
-                2 <= last < len(word), not inner, not any(map(str.isalpha, word)),
-            )
-        self.hashed[number] = (
-            mixed % DIMENSIONS,
-            (mixed >> 32) % DIMENSIONS,
-            xxhash.xxh32_intdigest(shape) % (DIMENSIONS - 1),
-        )
-        for group, listed in enumerate(INSULTS + FUNCTION):
-            self.signs[number, 3 + group] = min(sum(w in listed for w in inner), 255)
+            signs[at] = 2 <= last < len(word)
+            signs[at + 1] = not inner
+            signs[at + 2] = not (word[0].isalpha() or any(map(str.isalpha, word)))
+        mixed = xxhash.xxh64_intdigest(joined)
+        hashed = self.flat_hashed
+        hashed[3 * number] = mixed % DIMENSIONS
+        hashed[3 * number + 1] = (mixed >> 32) % DIMENSIONS
+        hashed[3 * number + 2] = shape
+        for w in inner:
+            for group in LISTED.get(w, ()):
+                signs[at + 3 + group] = min(signs[at + 3 + group] + 1, 255)
         return number
 
     def numbers(self, text: str | None) -> np.ndarray:

@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import re
 
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import brute
@@ -262,3 +264,31 @@ def test_items_and_texts_that_match_nothing(spark, odd, empty):
     assert decontamination.contamination(odd, none.limit(0)).count() == 0
     short = spark.createDataFrame([(4, "AB ab")], "item_id long, text string")
     assert {r.doc_id for r in decontamination.contamination(odd, short).collect()} == {15}
+
+
+def plain_word(word):
+    """What is kept of a word, said plainly: its hashes and its signs."""
+    lower = word.lower()
+    inner = re.findall(r"[^\W_]+", lower)
+    mixed = xxhash.xxh64_intdigest(" ".join(inner))
+    last = len(word) - max((i + 1 for i, c in enumerate(word) if c.isalnum()), default=0)
+    signs = [2 <= last < len(word), not inner, not any(c.isalpha() for c in word)]
+    if word.isalpha():
+        shape, signs = "aa" if word.islower() else "Aa" if word.istitle() else "AA" if word.isupper() else "aA", [0] * 3
+    else:
+        shape = re.sub(r"[^\W\dA-Z_]", "a", re.sub(r"[A-Z]", "A", re.sub(r"\d", "0", word)))
+        shape = re.sub(r"(.)\1+", r"\1\1", shape)[-3:]
+    lists = [sum(w in listed for w in inner) for listed in quality.INSULTS + quality.FUNCTION]
+    size = quality.DIMENSIONS
+    return [mixed % size, (mixed >> 32) % size, xxhash.xxh32_intdigest(shape) % (size - 1)], [*signs, *lists]
+
+
+def test_new_words_are_numbered_from_few_shapes():
+    """Words are told as said plainly, and words of one shape have it hashed once."""
+    odd = "idiot, l'idiot stupid-idiot! _the_ der,die,das Der DER dEr ǅungla İstanbul ß ²³ ½x ٣٤ a² Ⅷ ... ?! x?! x!? 12:30 the..."
+    words, table = [*odd.split(), *(f"word{i}," for i in range(10, 500))], quality.Words(2000)
+    quality.shape_feature.cache_clear()
+    ids = table.numbers(" ".join(words))
+    assert quality.shape_feature.cache_info().misses < 40
+    for i, word in zip(ids.tolist(), words):
+        assert (table.hashed[i].tolist(), table.signs[i].tolist()) == plain_word(word), word

@@ -21,17 +21,28 @@ WINDOW = 50
 PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
 STEP = 8
-SPACE = np.zeros(256, bool)
-SPACE[[0x20, *range(0x09, 0x0E)]] = True
+VISIBLE = np.ones(256, bool)
+VISIBLE[[0x20, *range(0x09, 0x0E)]] = False
+COVERED = np.zeros(0, np.int64)  # the covered positions, as far as they were needed
 
 
 def word_spans(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Start and end (bytes) of every word: a maximal run without blank or control space."""
-    inside = np.concatenate([[False], ~SPACE[np.frombuffer(text, np.uint8)], [False]])
+    inside = np.zeros(len(text) + 2, bool)
+    inside[1:-1] = VISIBLE.take(np.frombuffer(text, np.uint8))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     return edges[::2], edges[1::2]
 
 
+def covered_positions(n: int) -> np.ndarray:
+    """Those below ``n``."""
+    global COVERED
+    if not len(COVERED) or COVERED[-1] < n:
+        periods = np.arange(max(1 << 12, 2 * n // PERIOD)) + 1
+        COVERED = np.concatenate([COVER, np.add.outer(periods * PERIOD, COVER).ravel()]).astype(np.int64)
+    return COVERED[: COVERED.searchsorted(n)]
+
+
 class Words(Sequence):
     """A text as words. Anchors are the covered positions, each for the windows around it."""
 
@@ -39,12 +50,11 @@ class Words(Sequence):
         if not PERIOD <= window:
             raise ValueError(f"windows need at least {PERIOD} words")
         units, (starts, ends) = np.frombuffer(text, np.uint8), word_spans(text)
-        super().__init__(lambda which: Hashes(RANDOM[which][units], which)(starts, ends), len(starts), window)
+        super().__init__(lambda which: Hashes(RANDOM[which].take(units), which)(starts, ends), len(starts), window)
 
     def anchors(self):
         stretch = self.window - PERIOD + 1
-        at = np.arange(max(0, self.n - stretch + 1))
-        at = at[np.isin(at % PERIOD, COVER)]
+        at = covered_positions(max(0, self.n - stretch + 1))
         first, last = np.maximum(at - PERIOD + 1, 0), np.minimum(at, self.n - self.window)
         some = first <= last
         at, first, last = at[some], first[some], last[some]

@@ -1,13 +1,15 @@
 """SimHash groups, byte strings and word passages against brute force."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
 import brute
-from airstrata.llm import components, simhash, substring_dedup, suffix_dedup
+from airstrata.llm import components, repeats, simhash, substring_dedup, suffix_dedup
+from airstrata.llm.substring_dedup import COVER, PERIOD, covered_positions
 from samples import pairs, prose
 
 
@@ -140,3 +142,17 @@ def test_components_of_chains_and_stars(spark):
     got = components.components(spark.createDataFrame(edges, "u long, v long"))
     found = {r.u: r.v for r in got.collect()}
     assert found == {**{i: 0 for i in range(1, 61)}, **{i: 100 for i in range(101, 140)}, 201: 200}
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 31, 32, 4000, 500_000])
+def test_covered_positions_are_made_once(n):
+    every = np.arange(n)
+    assert np.array_equal(covered_positions(n), every[np.isin(every % PERIOD, COVER)])
+    assert np.shares_memory(covered_positions(n), covered_positions(n)) or n < 2
+
+
+@pytest.mark.parametrize("numbers", [[], [5], [3, 1, 3, 3, 2, 1]])
+def test_different_numbers_and_their_counts(numbers):
+    found, counts = repeats.different(np.array(numbers, np.uint64))
+    assert dict(zip(found.tolist(), counts.tolist())) == Counter(numbers)
+    assert found.tolist() == sorted(set(numbers))

@@ -85,16 +85,27 @@ class WordTable:
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Per word its fourth number, 0 if it is not here."""
-        out = np.zeros(len(keys), np.uint64)
-        at, open_ = self.first(keys), np.arange(len(keys))
+        at = self.first(keys)
+        out, same = self.held(at, keys)
+        open_ = np.flatnonzero(~same & (out != 0))  # few: most slots hold the word, or nothing
+        out[open_] = 0
+        at = at.take(open_)
         while len(open_):
-            rows = self.slots[at]
-            same = (rows[:, :3] == keys[open_]).all(axis=1)
-            out[open_[same]] = rows[same, 3]
-            go = ~same & (rows[:, 3] != 0)
-            open_, at = open_[go], (at[go] + 1) & ((1 << self.bits) - 1)
+            at = (at + 1) & ((1 << self.bits) - 1)
+            found, same = self.held(at, keys.take(open_, axis=0))
+            out[open_[same]] = found[same]
+            go = ~same & (found != 0)
+            open_, at = open_[go], at[go]
         return out
 
+    def held(self, at: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The fourth numbers in the slots, and whether the words there are the keys."""
+        rows = self.slots.take(at, axis=0)
+        same = rows[:, 0] == keys[:, 0]
+        same &= rows[:, 1] == keys[:, 1]
+        same &= rows[:, 2] == keys[:, 2]
+        return rows[:, 3].copy(), same
+
     def add(self, keys: np.ndarray, values: np.ndarray) -> None:
         """Different words that are not here yet."""
         at, open_ = self.first(keys), np.arange(len(keys))

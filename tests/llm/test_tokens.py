@@ -235,3 +235,16 @@ def test_empty_tables(empty, tmp_path):
     assert token_counts.token_counts(empty, PATH).count() == 0
     assert token_files.token_files(empty, PATH, str(tmp_path / "none")).count() == 0
     assert packing.pack(empty, PATH).count() == 0
+
+
+def test_words_are_found_past_others():
+    """Words of one slot are found behind each other; most are met in the first and looked at once."""
+    table = tokens.WordTable(8)
+    keys = np.arange(1, 541, dtype=np.uint64).reshape(180, 3)
+    values = np.arange(1, 181, dtype=np.uint64)
+    table.add(keys[:150], values[:150])
+    looked, held = [], table.held
+    table.held = lambda at, keys: looked.append(len(keys)) or held(at, keys)
+    assert table.find(keys).tolist() == [*range(1, 151), *[0] * 30]
+    assert len(looked) > 1 and looked[0] == 180 and max(looked[1:]) < 180
+    assert table.find(keys[:0]).tolist() == []

@@ -156,3 +156,59 @@ def test_different_numbers_and_their_counts(numbers):
     found, counts = repeats.different(np.array(numbers, np.uint64))
     assert dict(zip(found.tolist(), counts.tolist())) == Counter(numbers)
     assert found.tolist() == sorted(set(numbers))
+
+
+def test_only_texts_that_may_have_ranges_are_listed(spark):
+    """The others are held back from the shuffles, and come out without places."""
+    texts = [(i, prose(i, 12)) for i in range(2000)] + [(7, prose(7, 12))] * 3
+    units = repeats.keyed(spark.createDataFrame(texts, "doc_id long, text string"), "doc_id", "text")
+    keys = units.where("doc % 40 = 7").select("doc", "mark")
+    listed = {r.doc for r in repeats.listed(units, keys).where("listed").collect()}
+    assert {i for i in range(2000) if i % 40 == 7} <= listed and len(listed) < 60
+    places = keys.distinct().selectExpr("doc", "mark", "array(cast('x' AS binary)) AS places")
+    got = repeats.with_places(units, places, repeats.copied(units)).collect()
+    assert sorted((r.doc, bytes(r.text).decode(), r.places is not None) for r in got) == sorted(
+        (i, t, i % 40 == 7) for i, t in texts
+    )
+
+
+@pytest.mark.parametrize("number", [0, 1, 300, 40_000])
+def test_bit_table_grows_with_the_cores(spark, number):
+    numbers = np.random.default_rng(number).integers(0, 1 << 64, 2 * max(number, 20_000), dtype=np.uint64)
+    cores, others = numbers[:number], numbers[max(number, 20_000) :]
+    frame = spark.createDataFrame([(int(c),) for c in repeats.signed(cores)], "core long")
+    table = repeats.bit_table(frame)
+    assert repeats.in_table(table, cores).all() and repeats.in_table(table, others).mean() < 0.025
+    assert max(16 * number, 1 << 16) <= 64 * len(table) <= max(32 * number, 1 << 16)
+
+
+def test_bit_table_at_its_limit(spark, monkeypatch):
+    """A full table lets others pass, but drops nothing."""
+    monkeypatch.setattr(repeats, "TABLE_BITS", 17)
+    cores = np.random.default_rng(5).integers(0, 1 << 64, 60_000, dtype=np.uint64)
+    table = repeats.bit_table(spark.createDataFrame([(int(c),) for c in repeats.signed(cores)], "core long"))
+    assert len(table) == 1 << 11 and repeats.in_table(table, cores).all()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 60), st.integers(0, 8)), max_size=30))
+def test_joined_ranges(spans):
+    ranges = np.array([(a, a + n, a + n) for a, n in spans], np.int64).reshape(-1, 3)
+    found = repeats.joined(ranges).tolist()
+    starts = {x for a, n in spans for x in range(a, a + n + 1)}
+    assert {x for first, last, _ in found for x in range(first, last + 1)} == starts
+    assert all(b[0] > a[1] + 1 for a, b in zip(found, found[1:]))
+
+
+def test_places_of_a_document_are_joined(spark):
+    """One range per shared passage, however many windows it has, is kept for the last shuffle."""
+    shared = prose(5, 400)
+    texts = [(1, prose(6, 90) + shared + prose(7, 90)), (2, prose(8, 40) + shared + prose(9, 20)), (3, prose(10, 300))]
+    units = repeats.keyed(spark.createDataFrame(texts, "doc_id long, text string"), "doc_id", "text")
+    once = repeats.once(units, repeats.copied(units))
+    found = suffix_dedup.repeats(once, suffix_dedup.Bytes, (suffix_dedup.STEP, 1), earlier=False).collect()
+    ranges = {r.doc: repeats.ranges_of(r.places).tolist() for r in found}
+    assert set(ranges) == {1, 2} and all(len(r) == 1 for r in ranges.values())
+    for doc, ((first, last, _),) in ranges.items():
+        text = texts[doc - 1][1]
+        assert shared in text[first : last + suffix_dedup.LENGTH] and last - first < len(shared) - suffix_dedup.LENGTH + 5
